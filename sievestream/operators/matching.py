@@ -294,6 +294,18 @@ def match_pairs(messages: DataFrame, rules: DataFrame, collector_type: str, row_
     return result
 
 
+def match_long(
+    messages: DataFrame, rules: DataFrame, collector_type: str, row_id: str = "row_id", max_rules: int = IN_PLACE_MAX_RULES
+) -> DataFrame:
+    """(row_id, rule_id) by whichever form fits the rule table; `messages` has one content column per kind."""
+    bag = rule_bag(rules, collector_type, max_rules=max_rules)
+    if bag is None:
+        return match_pairs(messages, rules, collector_type, row_id)
+    contents = {kind: F.col(kind) for kind in bag.terms}
+    tagged = match_in_place(messages.select(row_id, *bag.terms), bag, contents)
+    return tagged.select(row_id, F.explode("collection_rules.rule_id").alias("rule_id"))
+
+
 def matched_rules(rules: DataFrame) -> DataFrame:
     """The full rule rows with `rule_tag` and `rule_value`, as they are put into messages."""
     columns = [F.col(c).cast("string") for c in RULE_FIELDS if c in rules.columns]

@@ -29,9 +29,9 @@ def read_jdbc_rules(spark: SparkSession, collector_type: str, table: str = "rule
     return sql_rules(spark.read.format("jdbc").options(dbtable=table, **options).load(), collector_type)
 
 
-def vendor_ids(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Distinct author ids named in the `rules` of vendor rule files."""
-    files = spark.read.schema("rules ARRAY<STRUCT<value: STRING>>").json(paths, multiLine=True)
+def vendor_ids(spark: SparkSession, paths: str | Sequence[str], one_per_line: bool = False) -> DataFrame:
+    """Distinct author ids named in the `rules` of vendor rule files (one object per file, or per line)."""
+    files = spark.read.schema("rules ARRAY<STRUCT<value: STRING>>").json(paths, multiLine=not one_per_line)
     values = files.select(F.explode("rules").alias("rule")).select(F.col("rule.value").alias("value"))
     return author_ids(values).distinct()
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sievestream.operators.limiter import Bucket
 from sievestream.plans.enrich import enrich
 from sievestream.schemas import DEFAULT_META
-from sievestream.streaming.limiter import keyed_rows, rate_limit_stream, sendable, series
+from sievestream.streaming.limiter import EXPIRATION_SECONDS, keyed_rows, rate_limit_stream, sendable, series
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -41,7 +41,7 @@ def start_collector(
         stream = lines
     else:
         enriched = enrich(lines, read_rules(), collector_type, instance_id, meta=meta)
-        stream = rate_limit_stream(keyed_rows(enriched), bucket)
+        stream = rate_limit_stream(keyed_rows(enriched), bucket, None if available_now else EXPIRATION_SECONDS)
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
             if on_series is not None:

@@ -39,12 +39,16 @@ def keyed_rows(enriched: DataFrame, ts: str = "ingest_ts") -> DataFrame:
     )
 
 
-def rate_limit_stream(keyed: DataFrame, bucket: Bucket, expiration_seconds: float = EXPIRATION_SECONDS) -> DataFrame:
+def rate_limit_stream(
+    keyed: DataFrame, bucket: Bucket, expiration_seconds: float | None = EXPIRATION_SECONDS
+) -> DataFrame:
     """Adds `admitted`. Within a micro-batch the order is (at, row_id); across batches time must not run back.
 
-    A rule value without traffic for the expiration time loses its bucket and later starts with a full one.
+    A rule value without traffic for the expiration time loses its bucket and later starts with a full one. Waiting
+    for that keeps a query alive: one that is to end with its input has to run without expiration (None).
     """
-    expiration_ms = int(expiration_seconds * 1000)
+    expires = expiration_seconds is not None
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if expires else GroupStateTimeout.NoTimeout
 
     def decide(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -59,11 +63,12 @@ def rate_limit_stream(keyed: DataFrame, bucket: Bucket, expiration_seconds: floa
         tokens, last = state.get if state.exists else (bucket.full, int(at[0]))
         admitted, tokens, last = walk(at, tokens, last, bucket)
         state.update((tokens, last))
-        state.setTimeoutDuration(expiration_ms)
+        if expires:
+            state.setTimeoutDuration(int(expiration_seconds * 1000))
         yield rows.assign(admitted=admitted)[["row_id", "rule_value", "at", "admitted", "output"]]
 
     return keyed.groupBy("rule_value", "lane").applyInPandasWithState(
-        decide, _DECISIONS, "tokens BIGINT, last BIGINT", "append", GroupStateTimeout.ProcessingTimeTimeout
+        decide, _DECISIONS, "tokens BIGINT, last BIGINT", "append", timeout
     )
 
 
