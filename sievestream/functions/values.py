@@ -35,6 +35,11 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def floor_div(value: Column, step: int) -> Column:
+    """Whole-number division rounding down, exact where a division of doubles is not."""
+    return F.call_function("div", value - F.pmod(value, F.lit(step)), F.lit(step))
+
+
 _MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DEFAULT_SALTS = 16
 SPLITS_PER_GROUP = 256
+_MAP_SIDE_RANKS = 1000
 
 
 def spread(rows: DataFrame, by: Column, salts: int = DEFAULT_SALTS) -> DataFrame:
@@ -30,6 +31,21 @@ def salted_join(
     return spread(rows, by, salts).join(repeated(keyed, salts), [*on, "_salt"], how).drop("_salt")
 
 
+def first_per_group(
+    df: DataFrame, groups: Sequence[str], order: Sequence[Column | str], n: int, by: Column, salts: int = 64
+) -> DataFrame:
+    """The first `n` rows of every group by a total order.
+
+    Spark cuts ranks in the map tasks only up to a limit of its own (1000 by default). Above it a group is first cut in
+    `salts` parts, so that at most `n` rows of each part meet in one task.
+    """
+    rank = lambda keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    if n > _MAP_SIDE_RANKS:
+        parts = spread(df, by, salts)
+        df = parts.withColumn("_rank", rank([*groups, "_salt"])).where(F.col("_rank") <= n).drop("_rank", "_salt")
+    return df.withColumn("_rank", rank(groups)).where(F.col("_rank") <= n).drop("_rank")
+
+
 def number_rows(df: DataFrame, groups: Sequence[str], order: str, name: str = "idx") -> DataFrame:
     """0-based position of every row within its group by a numeric, unique `order` column.
 

@@ -83,7 +83,7 @@ def walk(at: np.ndarray, tokens: int, last: int, bucket: Bucket) -> tuple[np.nda
 def _placed(keyed: DataFrame, bucket: Bucket, row_id: str, key: str, ts: str) -> DataFrame:
     narrow = keyed.select(F.col(row_id).alias("row_id"), F.col(key).alias("key"), F.col(ts).alias("ts"))
     timed = narrow.withColumn("at", V.micros(F.col("ts")))
-    return cut_lineage(timed.withColumn("cell", F.floor(F.col("at") / bucket.idle_us)), "limiter")
+    return cut_lineage(timed.withColumn("cell", V.floor_div(F.col("at"), bucket.idle_us)), "limiter")
 
 
 def _admitted(placed: DataFrame, bucket: Bucket) -> DataFrame:

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from sievestream.functions import geo as G
 from sievestream.functions import values as V
@@ -51,10 +51,6 @@ class RuleBag:
         full = [{**r, "rule_tag": r.get("tag"), "rule_value": r.get("value")} for r in self.rows]
         return F.from_json(F.lit(json.dumps(full)), self.matched_type)
 
-    def term_literal(self, kind: str) -> Column:
-        entries = [{"idx": i, "terms": list(terms)} for i, terms in self.terms.get(kind, [])]
-        return F.from_json(F.lit(json.dumps(entries)), "ARRAY<STRUCT<idx: INT, terms: ARRAY<STRING>>>")
-
 
 def with_basic_fields(rules: DataFrame) -> DataFrame:
     missing = [c for c in ("tag", "orig_type") if c not in rules.columns]
@@ -85,14 +81,33 @@ def rule_bag(
     return RuleBag(columns, rows, collector_type, {k: v for k, v in by_kind.items() if v})
 
 
-def _substring_hits(text: Column, bag: RuleBag) -> Column:
-    rules = bag.term_literal("keyword")
-    hit = F.filter(rules, lambda r: F.forall(r["terms"], lambda t: F.contains(text, t)))
-    return F.transform(hit, lambda r: r["idx"])
+Entries = list[tuple[int, tuple[str, ...]]]
+
+
+def substring_hits(spark: SparkSession, text: Column, entries: Entries) -> Column:
+    """Positions (ascending) of the entries whose terms all occur in `text`."""
+    if sum(len(terms) for _, terms in entries) >= AUTOMATON_MIN_TERMS and _has_automaton():
+        return _automaton_hits(spark, entries)(text)
+    rules = _term_literal(entries)
+    all_in = lambda t: F.filter(rules, lambda r: F.forall(r["terms"], lambda term: F.contains(t, term)))
+    return F.transform(V.let(text, all_in), lambda r: r["idx"])
+
+
+def _has_automaton() -> bool:
+    try:
+        import ahocorasick  # noqa: F401
+    except ImportError:
+        return False
+    return True
 
 
-def _automaton_hits(spark, entries: list[tuple[int, tuple[str, ...]]]):
-    """Arrow UDF: text -> positions of the rules whose terms all occur in it."""
+def _term_literal(entries: Entries) -> Column:
+    rows = [{"idx": i, "terms": list(terms)} for i, terms in entries]
+    return F.from_json(F.lit(json.dumps(rows)), "ARRAY<STRUCT<idx: INT, terms: ARRAY<STRING>>>")
+
+
+def _automaton_hits(spark: SparkSession, entries: Entries):
+    """Arrow UDF: all terms are looked for in one pass over the text, however many there are."""
     shipped = spark.sparkContext.broadcast(entries)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
@@ -100,27 +115,28 @@ def _automaton_hits(spark, entries: list[tuple[int, tuple[str, ...]]]):
         import ahocorasick
 
         always = [i for i, terms in shipped.value if terms[0] == ""]
-        # A rule is looked up by its longest term; the rest is tested only when that one occurs.
+        # An entry is looked up by its longest term; the rest is tested only when that one occurs.
         by_anchor: dict[str, list[tuple[int, tuple[str, ...]]]] = {}
         for i, terms in shipped.value:
             if terms[0] != "":
                 by_anchor.setdefault(terms[0], []).append((i, tuple(t for t in terms[1:] if t)))
         finder = ahocorasick.Automaton()
-        for anchor, rules in by_anchor.items():
-            finder.add_word(anchor, (anchor, rules))
+        for anchor, found in by_anchor.items():
+            finder.add_word(anchor, (anchor, found))
         finder.make_automaton()
 
         def one(text: str | None) -> list[int] | None:
             if text is None:
                 return None
             anchors = dict(found for _, found in finder.iter(text)) if by_anchor else {}
-            matched = [i for rules in anchors.values() for i, rest in rules if all(t in text for t in rest)]
+            matched = [i for found in anchors.values() for i, rest in found if all(t in text for t in rest)]
             return sorted(always + matched)
 
         for texts in batches:
             yield texts.map(one)
 
-    return hits
+    # Otherwise filters inferred from a later explode would run it a second time.
+    return hits.asNondeterministic()
 
 
 def _set_hits(members: str, kind: str, bag: RuleBag) -> Column:
@@ -143,21 +159,6 @@ def _sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def keyword_hits(spark, text: Column, bag: RuleBag) -> Column:
-    entries = bag.terms["keyword"]
-    if sum(len(terms) for _, terms in entries) >= AUTOMATON_MIN_TERMS and _has_automaton():
-        return _automaton_hits(spark, entries)(text)
-    return V.let(text, lambda t: _substring_hits(t, bag))
-
-
-def _has_automaton() -> bool:
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return False
-    return True
-
-
 def match_in_place(messages: DataFrame, bag: RuleBag, contents: dict[str, Column]) -> DataFrame:
     """Adds `collection_rules`: every rule the message satisfies, in rule order.
 
@@ -170,13 +171,13 @@ def match_in_place(messages: DataFrame, bag: RuleBag, contents: dict[str, Column
     positions = []
     for kind in bag.terms:
         if kind == "keyword":
-            positions.append(keyword_hits(spark, contents[kind], bag))
+            positions.append(substring_hits(spark, contents[kind], bag.terms[kind]))
         else:
             messages = messages.withColumn(f"_{kind}", contents[kind])
             positions.append(_set_hits(f"_{kind}", kind, bag))
     if not positions:
         return messages.withColumn("collection_rules", empty)
-    found = F.array_sort(F.concat(*[F.coalesce(p, F.array().cast("array<int>")) for p in positions]))
+    found = F.sort_array(F.concat(*[F.coalesce(p, F.array().cast("array<int>")) for p in positions]))
     rules = bag.literal()
     tagged = messages.select(*kept, found.alias("_found"))
     return tagged.select(*kept, F.transform("_found", lambda i: F.get(rules, i)).alias("collection_rules"))
@@ -235,7 +236,8 @@ def keyword_pairs(messages: DataFrame, terms: DataFrame, text: str = "keyword",
     tokens = messages.select(
         row_id, F.explode(F.array_distinct(F.split(F.col(text), " "))).alias("token")
     ).where("token != ''")
-    hits = _token_term_hits(tokens.select("token").distinct(), terms)
+    # Written out, its size is known: where it is small the tokens stay where they are.
+    hits = cut_lineage(_token_term_hits(tokens.select("token").distinct(), terms), "token-hits")
     found = salted_join(tokens, hits, ["token"], F.col(row_id)).select(row_id, "term").distinct()
     worded = terms.where("term != ''")
     pairs = _all_terms_found(found, worded, row_id)

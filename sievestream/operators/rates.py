@@ -32,7 +32,7 @@ def rolling_counts(
     window_us = window_seconds * V.MICROS
     n_slices = _SLICES if window_us % _SLICES == 0 else 1
     slice_us = window_us // n_slices
-    slice_of = lambda c: F.floor(c / F.lit(slice_us)).cast("long")
+    slice_of = lambda c: V.floor_div(c, slice_us)
 
     counted = cut_lineage(
         increments.select(F.col(key).alias("key"), F.col(ts).alias("ts")).groupBy("key", "ts").agg(F.count("*").alias("n")),
@@ -54,7 +54,7 @@ def rolling_counts(
 
     # Per-slice totals, with the slices of a block of `n_slices` and of the block before it in one small group.
     totals = points.groupBy("key", slice_of(F.col("at")).alias("slice")).agg(F.sum("n").alias("n"))
-    block = F.floor(F.col("slice") / n_slices)
+    block = V.floor_div(F.col("slice"), n_slices)
     copies = F.array(F.struct(block.alias("block"), F.lit(True).alias("own")), F.struct((block + 1).alias("block"), F.lit(False).alias("own")))
     blocks = totals.select("key", "slice", "n", F.explode(copies).alias("c")).select("key", "slice", "n", "c.*")
     around = Window.partitionBy("key", "block").orderBy("slice").rangeBetween(-(n_slices - 1), -1)
@@ -106,10 +106,11 @@ def rate_stats(series: DataFrame, now_us: Column | int, window_us: int, keys: Da
     seconds = float(window_us) / V.MICROS
     whole_seconds = window_us // V.MICROS
     recent = series.select("rule_value", V.micros(F.col("ts")).alias("at")).where(F.lit(window_us > 0) & (F.col("at") >= now - window_us))
-    first = recent.groupBy("rule_value").agg(F.min("at").alias("first_at"))
+    # One row per rule value. Written out, its size is known: where it is small the events are not shuffled for it.
+    first = cut_lineage(recent.groupBy("rule_value").agg(F.min("at").alias("first_at")), "first-events")
     per_second = (
         salted_join(recent, first, ["rule_value"], F.col("at"))
-        .groupBy("rule_value", F.floor((F.col("at") - F.col("first_at")) / V.MICROS).alias("second"))
+        .groupBy("rule_value", V.floor_div(F.col("at") - F.col("first_at"), V.MICROS).alias("second"))
         .agg(F.count("*").alias("n"))
     )
     stats = per_second.groupBy("rule_value").agg(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sievestream.functions import values as V
-from sievestream.operators.distribute import number_rows
+from sievestream.operators.distribute import first_per_group, number_rows
 from sievestream.schemas import MAX_TRACK_LENGTH, SCAN_CAPS, SHARD_CAPS, check_collector_type
 
 
@@ -156,16 +156,12 @@ def plan_instances(rules: DataFrame, caps: dict[str, int] = SHARD_CAPS) -> DataF
 
 
 def cap_per_instance(rules: DataFrame, order: str = "rule_id", caps: dict[str, int] = SCAN_CAPS) -> DataFrame:
-    """The first rules of each instance, up to what its type may hold.
-
-    The rank filter is against a constant per type, so Spark cuts each map task's rows before the shuffle.
-    """
-    columns = [c for c in rules.columns]
-    rank = F.row_number().over(Window.partitionBy("rule_type", "instance_id").orderBy(order))
-    parts = []
-    for rule_type, cap in caps.items():
-        ranked = rules.where(F.col("rule_type") == rule_type).withColumn("_rank", rank)
-        parts.append(ranked.where(F.col("_rank") <= cap).select(*columns))
+    """The first rules of each instance, up to what its type may hold."""
+    keys = ["rule_type", "instance_id"]
+    parts = [
+        first_per_group(rules.where(F.col("rule_type") == kind), keys, [order], cap, F.col(order))
+        for kind, cap in caps.items()
+    ]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

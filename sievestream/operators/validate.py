@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievestream.functions import geo as G
 from sievestream.functions import values as V
-from sievestream.operators.matching import keyword_pairs
+from sievestream.operators.matching import keyword_pairs, substring_hits
 from sievestream.session import rows_if_at_most
 from sievestream.schemas import MAX_TRACK_LENGTH
 
 RECENT_MESSAGES = 100
 TOO_FAST_TO_MEASURE = 10000.0
-IN_PLACE_MAX_KEYWORDS = 2_000
+IN_PLACE_MAX_KEYWORDS = 20_000
 TOO_LONG = "The byte length of the track phrase is over 60."
 
 
@@ -59,11 +59,14 @@ def recent_by_keyword(
     everywhere does not move everything to one task.
     """
     asked = keywords.select("keyword").where("keyword IS NOT NULL").distinct()
-    few = rows_if_at_most(asked, max_in_place)
+    few = rows_if_at_most(asked.withColumn("lowered", F.lower("keyword")), max_in_place)
     if few is not None:
-        literal = F.from_json(F.lit(json.dumps([r["keyword"] for r in few])), "ARRAY<STRING>")
-        contained = V.let(F.lower("text"), lambda t: F.filter(literal, lambda k: F.contains(t, F.lower(k))))
-        hits = messages.select("row_id", "ts", F.explode(contained).alias("keyword"))
+        words = [r["keyword"] for r in few]
+        entries = [(i, (r["lowered"],)) for i, r in enumerate(few)]
+        found = substring_hits(messages.sparkSession, F.lower("text"), entries)
+        keyword_at = F.from_json(F.lit(json.dumps(words)), "ARRAY<STRING>")
+        hits = messages.select("row_id", "ts", F.explode(found).alias("_i"))
+        hits = hits.select("row_id", "ts", F.get(keyword_at, F.col("_i")).alias("keyword"))
     else:
         terms = asked.select(F.col("keyword").alias("rule_id"), F.explode(V.match_terms(F.col("keyword"))).alias("term"))
         texts = messages.select("row_id", "ts", F.lower("text").alias("keyword"))

@@ -757,7 +757,7 @@ def rate_limit_messages(spark, sf):
     keyed = A.limit_keys(enriched, "row_id", "ingest_ts").select(
         F.col("row_id").cast("long").alias("row_id"),
         "rule_value",
-        F.timestamp_micros(F.floor(V.micros(F.col("ingest_ts")) / 100)).alias("ts"),
+        F.timestamp_micros(V.floor_div(V.micros(F.col("ingest_ts")), 100)).alias("ts"),
     )
     documents = D.table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"))
     return L.admit(documents, L.rate_limit(keyed, L.Bucket(rate=1, capacity=2))).select(F.col("row_id").alias("doc_id"))

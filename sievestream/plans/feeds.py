@@ -136,5 +136,5 @@ def dense_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("row_id"),
         F.col("event_type").alias("rule_value"),
-        F.timestamp_micros(F.floor(V.micros(F.col("ts")) / 10000)).alias("ts"),
+        F.timestamp_micros(V.floor_div(V.micros(F.col("ts")), 10000)).alias("ts"),
     )
