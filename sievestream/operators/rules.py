@@ -34,13 +34,14 @@ def append(rules: DataFrame, new: DataFrame, order: str, strict: bool = False) -
 
     Incomplete rows are left out, or fail the query when `strict`.
     """
-    if strict:
-        missing = F.col("rule_id").isNull() | F.col("value").isNull()
-        new = new.where(
-            F.when(missing, F.raise_error(F.lit("rule without id or value")).cast("boolean")).otherwise(True)
-        )
     columns = rules.columns
-    both = rules.withColumn("_new", F.lit(0)).unionByName(complete(new).select(*columns).withColumn("_new", F.lit(1)))
+    if strict:
+        fail = F.raise_error(F.lit("rule without id or value"))
+        checked = {c: F.coalesce(c, fail.cast(rules.schema[c].dataType)) for c in ("rule_id", "value")}
+        new = new.withColumns(checked)
+    else:
+        new = complete(new)
+    both = rules.withColumn("_new", F.lit(0)).unionByName(new.select(*columns).withColumn("_new", F.lit(1)))
     row = F.struct(*columns)
     return both.groupBy("rule_id").agg(F.max_by(row, F.struct("_new", order)).alias("_row")).select("_row.*")
 

@@ -38,7 +38,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def _document_content(spark: SparkSession, sf: str) -> DataFrame:
-    documents = D.table(spark, sf, "documents")
+    documents = D.documents(spark, sf)
     return documents.select(
         F.col("doc_id").alias("row_id"), F.lower("text").alias("keyword"), F.array("lang", "source").alias("hashtag")
     )
@@ -51,7 +51,7 @@ def _document_content(spark: SparkSession, sf: str) -> DataFrame:
 def match_keyword(spark, sf):
     rules = D.benchmark_rules(D.table(spark, sf, "benchmark"))
     bag = X.rule_bag(rules, "track")
-    documents = D.table(spark, sf, "documents")
+    documents = D.documents(spark, sf)
     if bag is None:
         pairs = X.match_pairs(_document_content(spark, sf), rules, "track")
         rows = pairs.join(X.matched_rules(rules), "rule_id").select(F.col("row_id").alias("doc_id"), F.struct("*").alias("r"))
@@ -158,7 +158,7 @@ def match_locations(spark, sf):
         F.when(F.col("s_nationkey") < 5, F.col("s_name")).alias("description"),
         F.lit("geo").alias("orig_type"),
     )
-    lines = D.document_lines(D.table(spark, sf, "documents"))
+    lines = D.document_lines(D.documents(spark, sf))
     tagged = enrich(lines, supplier, "locations", order="seq").select("row_id", F.explode("collection_rules").alias("r"))
     return tagged.select(
         F.col("row_id").cast("long").alias("doc_id"), "r.rule_id", "r.description", "r.rule_tag", "r.rule_value"
@@ -223,7 +223,7 @@ def keyword_content(spark, sf):
 
 @query
 def content_sets(spark, sf):
-    lines = D.document_lines(D.table(spark, sf, "documents"))
+    lines = D.document_lines(D.documents(spark, sf))
     parsed = M.well_formed(M.parse(lines))
     return parsed.select(
         F.col("row_id").cast("long").alias("doc_id"),
@@ -275,7 +275,7 @@ def _enriched_columns(enriched: DataFrame) -> DataFrame:
 
 @query
 def enrich_messages(spark, sf):
-    lines = D.document_lines(D.table(spark, sf, "documents"))
+    lines = D.document_lines(D.documents(spark, sf))
     rules = D.benchmark_rules(D.table(spark, sf, "benchmark"))
     return _enriched_columns(enrich(lines, rules, "track", 1))
 
@@ -523,7 +523,7 @@ def vendor_ids(spark, sf):
 
 
 def _document_messages(spark, sf):
-    return D.table(spark, sf, "documents").select(
+    return D.documents(spark, sf).select(
         F.col("doc_id").alias("row_id"), D.document_time().alias("ts"), "text"
     )
 
@@ -730,7 +730,7 @@ def metrics_gauges(spark, sf):
 
 
 def _matched_documents(spark, sf):
-    lines = D.document_lines(D.table(spark, sf, "documents"))
+    lines = D.document_lines(D.documents(spark, sf))
     rules = D.benchmark_rules(D.table(spark, sf, "benchmark"))
     return enrich(lines, rules, "track", 1)
 

@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; a table of fewer files than cores is spread over all of them before the work on its texts."""
+    df = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores, "doc_id") if len(df.inputFiles()) < cores else df
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = table(spark, sf_dir, name).schema
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
@@ -29,7 +36,7 @@ def feed_time(ts: Column) -> Column:
     return F.date_format(ts, "EEE MMM dd HH:mm:ss '+0000' yyyy")
 
 
-def document_lines(documents: DataFrame) -> DataFrame:
+def document_lines(docs: DataFrame) -> DataFrame:
     """Every document as a message line."""
     source, lang = F.col("source"), F.col("lang")
     hashtag = lambda c: F.struct(c.alias("text"))
@@ -50,7 +57,7 @@ def document_lines(documents: DataFrame) -> DataFrame:
         F.struct(source.alias("id_str"), F.concat(F.lit("Desk_"), source).alias("screen_name")).alias("user"),
         entities.alias("entities"),
     )
-    return documents.select(
+    return docs.select(
         F.to_json(message).alias("value"), F.col("doc_id").cast("string").alias("row_id"), document_time().alias("ingest_ts")
     )
 
