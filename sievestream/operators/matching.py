@@ -222,6 +222,7 @@ def _token_term_hits(tokens: DataFrame, terms: DataFrame) -> DataFrame:
         .groupBy("term")
         .agg(F.min_by("gram", F.struct("n_terms", "gram")).alias("gram"))
     )
+    anchors = cut_lineage(anchors, "anchors")
     token_grams = tokens.select("token", F.explode(_all_grams(F.col("token"), lengths)).alias("gram"))
     candidates = salted_join(token_grams, anchors, ["gram"], F.col("token"))
     return candidates.where(F.contains("token", "term")).select("token", "term")
@@ -323,7 +324,9 @@ def tag_by_joins(
     rows = full.select("rule_id", F.struct(*full.columns).alias("_rule")).join(
         rules.select("rule_id", F.col(order).alias("_order")), "rule_id"
     )
-    pairs = match_pairs(messages, rules, collector_type, row_id)
+    # The contents are read several times: derive them from the messages once.
+    content = cut_lineage(messages.select(row_id, *MATCHABLE_KINDS[collector_type]), "contents")
+    pairs = match_pairs(content, rules, collector_type, row_id)
     tags = (
         salted_join(pairs, rows, ["rule_id"], F.col(row_id))
         .groupBy(row_id)

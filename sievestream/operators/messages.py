@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from sievestream.functions import values as V
 from sievestream.schemas import DEFAULT_META, MESSAGE_DDL
@@ -75,6 +75,22 @@ def add_metadata(classified: DataFrame, instance_id: int, meta: str = DEFAULT_ME
     )
 
 
+def with_event_time(classified: DataFrame) -> DataFrame:
+    """Adds `event_ts`, the time a tweet says it was written, for counting by event time instead of arrival."""
+    return classified.withColumn("event_ts", V.created_at_timestamp(F.col("message.created_at")))
+
+
+def observe_lines(parsed_all: DataFrame, observation: Observation | str) -> DataFrame:
+    """Counts keep-alives, malformed lines and messages while they pass; apply to `parse` of all lines."""
+    blank = F.coalesce(F.length("value"), F.lit(0)) == 0
+    return parsed_all.observe(
+        observation,
+        F.count_if(blank).alias("keep_alives"),
+        F.count_if(~blank & F.col("is_malformed")).alias("malformed"),
+        F.count_if(~F.col("is_malformed")).alias("messages"),
+    )
+
+
 def output_json(value: Column, added: Column, has_meta: Column, meta: str = DEFAULT_META) -> Column:
     """The input line with the `added` struct under `meta`; every other field, known or not, is kept.
 

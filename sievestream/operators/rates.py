@@ -12,7 +12,7 @@ ROLLING_WINDOW_SECONDS = 900
 _SLICES = 900
 
 
-def rule_increments(tagged: DataFrame, *keep: str) -> DataFrame:
+def rule_increments(tagged: DataFrame, *keep: Column | str) -> DataFrame:
     """One row per (message, matched rule)."""
     return tagged.select(*keep, F.explode("collection_rules.rule_id").alias("rule_id")).where("rule_id IS NOT NULL")
 
@@ -177,6 +177,30 @@ def metric_names(prefix: str) -> dict[str, str]:
     }
 
 
+def log_metric_names(prefix: str) -> dict[str, str]:
+    """Log event -> metric name of the log-driven metrics."""
+    return {
+        "heartbeat_message_sent_success": "src.heartbeat.success.count",
+        "Caught exception while adding the heartbeat message to Redis": "src.heartbeat.failure.count",
+        "restart_message_received": "src.restart_message.success.count",
+        "kafka_error": "src.kafka.error",
+        "redis_error": "src.redis.error",
+        f"{prefix}_error_occurred": "src.error.count",
+        "twitter_error_occurred": "src.twitter.error.count",
+        "tweet_process_success": "src.tweet_process.success",
+        "tweet_to_kafka_success": "src.tweet_to_kafka.success",
+        "tweet_to_kafka_failure": "src.tweet_to_kafka.failure",
+        "limit_message_received": "src.limit.messages.count",
+        "limit_message_count": "src.limit.current_limited",
+        "Stream keep-alive received": "src.twitter.keepalive",
+        "Waiting for rules": "src.rules.waiting",
+        "Withholding heartbeat, not accepting rule assignments": "src.rules.not_accepting",
+        "API credentials are invalid": "src.auth.invalid",
+        "Exception caught in redis pub/sub listener, restarting listener": "src.redis.error",
+        "Exception caught closing redis pub/sub listener": "src.redis.error",
+    }
+
+
 def _metric(event: Column, names: dict[str, str]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), event)
 

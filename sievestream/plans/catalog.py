@@ -262,6 +262,13 @@ def created_at_iso(spark, sf):
     return events.select("event_id", V.created_at_iso(F.col("created_at")).alias("created_at_iso"))
 
 
+@query
+def event_time(spark, sf):
+    lines = D.event_lines(D.table(spark, sf, "events"))
+    parsed = M.classify(M.well_formed(M.parse(M.drop_keep_alives(lines)))).where("message_class = 'tweet'")
+    return M.with_event_time(parsed).select("event_id", V.micros(F.col("event_ts")).alias("at_us"))
+
+
 def _enriched_columns(enriched: DataFrame) -> DataFrame:
     added = lambda path: F.get_json_object("output", f"$.collector.{path}")
     return enriched.select(
@@ -721,6 +728,15 @@ def metrics_counts(spark, sf):
     return counted.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
+@query
+def log_metrics(spark, sf):
+    """Metrics read from log events: keep-alives and limit notices of the event lines."""
+    named = F.create_map(*[F.lit(x) for x in ("view", "Stream keep-alive received", "error", "limit_message_received")])
+    events = D.table(spark, sf, "events").select("ts", F.element_at(named, F.col("event_type")).alias("event"))
+    counted = A.counters(events, A.log_metric_names("collector"), window="1 hour")
+    return counted.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH"))
+
+
 @query
 def metrics_gauges(spark, sf):
     events = D.table(spark, sf, "events").where("event_type = 'error'").select(

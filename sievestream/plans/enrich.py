@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from sievestream.functions.content import CONTENT_BUILDERS
 from sievestream.operators import matching as X
@@ -15,9 +15,15 @@ def contents(collector_type: str, message: str = "message") -> dict[str, Column]
     return {kind: CONTENT_BUILDERS[kind](message) for kind in MATCHABLE_KINDS[collector_type]}
 
 
-def prepare(lines: DataFrame, instance_id: int, meta: str = DEFAULT_META) -> DataFrame:
-    """Keep-alives and malformed lines out; parsed, classified, with time and instance id."""
-    parsed = M.well_formed(M.parse(M.drop_keep_alives(lines)))
+def prepare(
+    lines: DataFrame, instance_id: int, meta: str = DEFAULT_META, observation: Observation | str | None = None
+) -> DataFrame:
+    """Keep-alives and malformed lines out (counted by `observation`); parsed, classified, with time and instance id."""
+    if observation is None:
+        parsed = M.parse(M.drop_keep_alives(lines))
+    else:
+        parsed = M.drop_keep_alives(M.observe_lines(M.parse(lines), observation))
+    parsed = M.well_formed(parsed)
     return M.add_metadata(M.classify(parsed), instance_id, meta)
 
 
@@ -70,6 +76,8 @@ def enrich(
     instance_id: int = 0,
     order: str = "rule_id",
     meta: str = DEFAULT_META,
+    observation: Observation | str | None = None,
 ) -> DataFrame:
     """Message lines in; one row per well-formed message out, with `collection_rules` and the `output` line."""
-    return add_output(tag(prepare(lines, instance_id, meta), rules, collector_type, instance_id, order), meta)
+    prepared = prepare(lines, instance_id, meta, observation)
+    return add_output(tag(prepared, rules, collector_type, instance_id, order), meta)

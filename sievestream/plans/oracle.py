@@ -253,6 +253,8 @@ ORACLE: dict[str, str] = {
         SELECT event_id, event_id::VARCHAR AS id_str, user_id::VARCHAR AS user_id, props AS text
         FROM events WHERE event_type = 'click'""",
     "created_at_iso": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS created_at_iso FROM events",
+    "event_time": """
+        SELECT event_id, epoch_us(date_trunc('second', ts)) AS at_us FROM events WHERE event_type = 'click'""",
     "enrich_messages": ENRICHED,
     "enrich_stream": ENRICHED,
     "rule_normalize": f"WITH {PART_RULES} SELECT rule_id, norm_value FROM normalized",
@@ -419,6 +421,10 @@ ORACLE: dict[str, str] = {
             WHEN 'error' THEN 'collector.src.kafka.error' ELSE 'collector.src.tweet_to_kafka.success' END AS metric,
           user_id AS instance_id, count(*) AS n
         FROM events WHERE event_type IN ('click', 'error', 'view') GROUP BY ALL""",
+    "log_metrics": """
+        SELECT strftime(ts, '%Y-%m-%d %H') AS window_start,
+          CASE event_type WHEN 'view' THEN 'src.twitter.keepalive' ELSE 'src.limit.messages.count' END AS metric, count(*) AS n
+        FROM events WHERE event_type IN ('view', 'error') GROUP BY ALL""",
     "metrics_gauges": """
         SELECT 'collector.src.limit.current_limited' AS metric, user_id AS instance_id, arg_max(value, ts) AS value
         FROM events WHERE event_type = 'error' GROUP BY user_id""",

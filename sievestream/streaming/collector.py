@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sievestream.operators.limiter import Bucket
+from sievestream.operators.rates import rule_increments
 from sievestream.plans.enrich import enrich
 from sievestream.schemas import DEFAULT_META
 from sievestream.streaming.limiter import EXPIRATION_SECONDS, keyed_rows, rate_limit_stream, sendable, series
@@ -24,6 +25,7 @@ def start_collector(
     checkpoint: str,
     bucket: Bucket | None = None,
     on_series: Sink | None = None,
+    on_increments: Sink | None = None,
     meta: str = DEFAULT_META,
     available_now: bool = False,
 ) -> StreamingQuery:
@@ -32,11 +34,20 @@ def start_collector(
     Without a limiter the rules are read again at every micro-batch, so changes need no restart; with an empty rule
     table messages pass as unmatched. With a limiter the rules are those of the query's start: on a new version stop
     the query and start it again on the same checkpoint (`run_with_current_rules`); buckets survive that.
+
+    `on_increments` gets one (rule_id, ts) row per matched rule for the rule counters (without a limiter; never for
+    locations), `on_series` the (rule_value, ts, admitted) rows of the limiter.
     """
     if bucket is None:
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
-            sink(enrich(batch, read_rules(), collector_type, instance_id, meta=meta), batch_id)
+            enriched = enrich(batch, read_rules(), collector_type, instance_id, meta=meta)
+            if on_increments is not None and collector_type != "locations":
+                # Both outputs come from one enrichment.
+                enriched.persist()
+                on_increments(rule_increments(enriched, F.col("ingest_ts").alias("ts")), batch_id)
+            sink(enriched, batch_id)
+            enriched.unpersist()
 
         stream = lines
     else:

@@ -19,23 +19,20 @@ _DECISIONS = "row_id STRING, rule_value STRING, at BIGINT, admitted BOOLEAN, out
 
 
 def keyed_rows(enriched: DataFrame, ts: str = "ingest_ts") -> DataFrame:
-    """(row_id, rule_value, at, output, lane), one row per rule value of a message.
+    """(row_id, rule_value, at, output, lane): one narrow row per rule value of a message, and one with its output line.
 
-    Messages without a rule value are spread over lanes of their own. The output line rides with one of the rows.
+    The rows with the lines have no rule value. They are spread over lanes and pass the limiter chunk by chunk, so a
+    busy rule value gathers ids and times in its task, never messages.
     """
-    exploded = enriched.select(
-        "row_id",
-        V.micros(F.col(ts)).alias("at"),
-        "output",
-        F.posexplode_outer(distinct_values(F.col("collection_rules"))).alias("pos", "rule_value"),
-    )
+    values = F.coalesce(distinct_values(F.col("collection_rules")), F.array().cast("array<string>"))
+    line = F.struct(F.lit(None).cast("string").alias("rule_value"), F.col("output").alias("output"))
+    keys = F.transform(values, lambda v: F.struct(v.alias("rule_value"), F.lit(None).cast("string").alias("output")))
+    rows = enriched.select(
+        "row_id", V.micros(F.col(ts)).alias("at"), F.explode(F.concat(F.array(line), keys)).alias("r")
+    ).select("row_id", "at", "r.*")
     lane = F.pmod(F.xxhash64("row_id"), F.lit(PASS_THROUGH_GROUPS)).cast("int")
-    return exploded.select(
-        "row_id",
-        "rule_value",
-        "at",
-        F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("output")).alias("output"),
-        F.when(F.col("rule_value").isNull(), lane).otherwise(0).alias("lane"),
+    return rows.select(
+        "row_id", "rule_value", "at", "output", F.when(F.col("rule_value").isNull(), lane).otherwise(0).alias("lane")
     )
 
 
@@ -73,9 +70,12 @@ def rate_limit_stream(
 
 
 def sendable(decisions: DataFrame) -> DataFrame:
-    """The output lines of a micro-batch that may be sent, each once: any admitted rule value is enough."""
-    merged = decisions.groupBy("row_id").agg(F.bool_or("admitted").alias("ok"), F.max("output").alias("output"))
-    return merged.where("ok").select("row_id", "output")
+    """The output lines of a micro-batch that may be sent: any admitted rule value is enough, and so is having none."""
+    keyed = F.col("rule_value").isNotNull()
+    merged = decisions.groupBy("row_id").agg(
+        F.bool_or(F.when(keyed, F.col("admitted"))).alias("admitted"), F.max("output").alias("output")
+    )
+    return merged.where(F.coalesce("admitted", F.lit(True))).select("row_id", "output")
 
 
 def series(decisions: DataFrame) -> DataFrame:

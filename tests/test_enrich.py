@@ -165,3 +165,68 @@ def test_rules_are_read_again_for_every_batch(spark, make_rules, tmp_path):
     (source / "b.json").write_text(json.dumps(tweet()))
     run()
     assert list(seen.values()) == [[["12347"]], [["99"]]]
+
+
+def test_dropped_lines_are_counted(make_rules, make_lines):
+    from pyspark.sql import Observation
+
+    counts = Observation()
+    enrich(make_lines("", tweet(), "{", "", *CONTROL), make_rules(TRACK), "track", observation=counts).collect()
+    assert counts.get == {"keep_alives": 2, "malformed": 1, "messages": 8}
+
+
+def test_rule_increments_of_a_stream(spark, make_rules, tmp_path):
+    from sievestream.sources.messages import stream_lines
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(json.dumps(m) for m in [tweet(), tweet(text="x"), *CONTROL]))
+    rules, seen, sent = make_rules(TRACK, rule(5, "birthday", "keyword")), [], []
+    start_collector(
+        stream_lines(spark, str(tmp_path / "in")),
+        lambda: rules,
+        "track",
+        0,
+        lambda batch, i: sent.append(batch.count()),
+        str(tmp_path / "ck"),
+        on_increments=lambda batch, i: seen.extend(r["rule_id"] for r in batch.collect()),
+        available_now=True,
+    ).awaitTermination()
+    assert sorted(seen) == ["12347", "5"] and sent == [9]
+
+
+def test_change_notices(spark):
+    from sievestream.streaming.collector import latest_change, notices_for
+
+    notices = spark.createDataFrame([("track:0", 1), ("track:1", 2), ("follow:0", 3), ("track:0", 4)], "data STRING, ts INT")
+    assert [r["ts"] for r in notices_for(notices, "track", 0).collect()] == [1, 4]
+    versions = {(r[0], r[1]): r[2] for r in latest_change(notices).collect()}
+    assert versions == {("track", "0"): 4, ("track", "1"): 2, ("follow", "0"): 3}
+
+
+def test_limited_collector_restarts_on_new_rules(spark):
+    from sievestream.streaming.collector import run_with_current_rules
+
+    class Query:
+        """Ends by itself at the second start."""
+
+        def __init__(self, number):
+            self.number, self.stopped = number, False
+
+        isActive = property(lambda self: self.number == 1 and not self.stopped)
+        exception = lambda self: None
+
+        def awaitTermination(self, seconds):
+            return None
+
+        def stop(self):
+            self.stopped = True
+
+    started = []
+
+    def start():
+        started.append(Query(len(started) + 1))
+        return started[-1]
+
+    versions = iter([1, 1, 2, 2, 2])
+    run_with_current_rules(start, lambda: next(versions), 0.01)
+    assert len(started) == 2 and started[0].stopped

@@ -145,7 +145,8 @@ def test_expiry(spark):
 def test_limiter_on_a_stream(spark, tmp_path):
     """Two batches in turn: the bucket goes on where the first one left it; a restart in between changes nothing."""
     ddl = "row_id STRING, rule_value STRING, at BIGINT, output STRING, lane INT"
-    rows = [(f"{i:03d}", "air force", i * 10_000, f"line {i}", 0) for i in range(100)]
+    rows = [(f"{i:03d}", "air force", i * 10_000, None, 0) for i in range(100)]
+    rows += [(f"{i:03d}", None, i * 10_000, f"line {i}", i % 4) for i in range(100)]
     rows += [(f"{i:03d}", "second", i * 10_000, None, 0) for i in range(0, 100, 20)] + [("x", None, 0, "free", 7)]
 
     def run(part):
