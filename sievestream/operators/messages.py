@@ -25,8 +25,17 @@ def parse(lines: DataFrame) -> DataFrame:
     A line is malformed when it is not one JSON object. An object whose fields have unexpected types is kept, with
     those fields null.
     """
-    parsed = lines.withColumn("keys", F.json_object_keys("value")).withColumn(
-        "message", F.from_json("value", f"{MESSAGE_DDL}, {_CORRUPT} STRING", _PARSE_OPTIONS)
+    # A generator, so that filters on its result do not parse the line a second time.
+    parsed = lines.select(
+        "*",
+        F.inline(
+            F.array(
+                F.struct(
+                    F.json_object_keys("value").alias("keys"),
+                    F.from_json("value", f"{MESSAGE_DDL}, {_CORRUPT} STRING", _PARSE_OPTIONS).alias("message"),
+                )
+            )
+        ),
     )
     not_object = F.col("keys").isNull() | ~F.endswith(F.rtrim("value"), F.lit("}"))
     not_json = F.col(f"message.{_CORRUPT}").isNotNull() & F.try_parse_json("value").isNull()
