@@ -73,7 +73,7 @@ def rule_bag(
     found = rows_if_at_most(wanted, max_rules)
     if found is None:
         return None
-    found.sort(key=lambda r: r["_order"])
+    found.sort(key=lambda r: (True,) if r["_order"] is None else (False, r["_order"]))
     by_kind: dict[str, list] = {k: [] for k in MATCHABLE_KINDS[collector_type]}
     for i, r in enumerate(found):
         if r["orig_type"] in by_kind:

@@ -22,12 +22,19 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path below the cluster's shared checkpoint folder (a local one only where none is set)."""
+    """A new path below the cluster's shared checkpoint folder (a temporary one only in local mode without a setting)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        root = tempfile.mkdtemp(prefix="sievestream-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        if context.applicationId not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="sievestream-")
+        root = _LOCAL_ROOTS[context.applicationId]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
