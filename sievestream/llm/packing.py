@@ -14,7 +14,8 @@ from sievestream.llm.tokens import ByteIds, loaded
 
 GRAIN = 8
 PIECES_DDL = "key LONG, start LONG, length LONG, ids_crc32 LONG, doc_tokens LONG"
-GAP = 2e-4
+GAP = 1e-3
+STEPS = 8
 ROWS = 256
 
 
@@ -64,20 +65,24 @@ def generate_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> l
     """Patterns and how often each is used, as the linear program min sum(x), patterns * x = demand has it.
 
     Column generation: the basis begins with one pattern of each size; the duals price the items, the knapsack finds the column of
-    lowest reduced cost, the ratio test drops a column. It ends when Farley's bound puts the optimum within GAP.
+    lowest reduced cost, the ratio test drops a column. It ends when Farley's bound puts the optimum within GAP, or after STEPS times as
+    many columns as sizes: any basis on the way is feasible, and the next ones are hardly better.
     """
+    unit = int(np.gcd.reduce(np.append(sizes, capacity)))
+    sizes, capacity = sizes // unit, capacity // unit
     m = len(sizes)
     basis = np.diag((capacity // sizes).astype(float))
     inverse = np.diag(1 / np.diag(basis))
-    amounts = inverse @ demand
+    amounts = (inverse * demand).sum(axis=1)
     best_bound = 0.0
-    for step in range(40 * m):
+    for step in range(STEPS * m):
         duals = inverse.sum(axis=0)  # every pattern costs one sequence
         worth, pattern = best_pattern(duals, sizes, capacity)
-        best_bound = max(best_bound, float(np.maximum(duals, 0) @ demand) / max(worth, 1.0))
+        best_bound = max(best_bound, float((np.maximum(duals, 0) * demand).sum()) / max(worth, 1.0))
         if worth <= 1 + 1e-9 or amounts.sum() <= best_bound * (1 + GAP):
             break
-        direction = inverse @ pattern
+        used = np.flatnonzero(pattern)
+        direction = (inverse[:, used] * pattern[used]).sum(axis=1)
         rows = np.flatnonzero(direction > 1e-9)
         leave = rows[np.argmin(amounts[rows] / direction[rows])]
         by = max(amounts[leave] / direction[leave], 0.0)
@@ -87,9 +92,8 @@ def generate_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> l
         inverse[leave] /= direction[leave]
         others = np.arange(m) != leave
         inverse[others] -= np.outer(direction[others], inverse[leave])
-        if step % 200 == 199:
-            inverse = np.linalg.inv(basis)
-            amounts = np.maximum(inverse @ demand, 0)
+    if np.abs((basis * amounts).sum(axis=1) - demand).max() > 1e-3:  # drift of the updates
+        amounts = np.maximum(np.linalg.solve(basis, demand), 0)
     return [(basis[:, k].astype(np.int64), float(amounts[k])) for k in range(m) if amounts[k] > 1e-9]
 
 
