@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievestream.llm import embeddings, mixing, packing, sharding, simhash, token_counts
+from sievestream.llm import embeddings, language_model, mixing, packing, paragraphs, sharding, simhash, sketches, token_counts
 from sievestream.llm.common import table, work_dir
 
 SHARDS = 8
@@ -44,13 +44,27 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3)
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(_documents(spark, sf_dir))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.neighbours(_documents(spark, sf_dir)).drop("sketch", "edited_sketch")
+
+
+def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every place of a paragraph that several documents share, with the document that keeps it."""
+    found = paragraphs.repeated_paragraphs(_documents(spark, sf_dir))
+    return found.select("doc_id", F.col("word").alias("first_word"), F.col("words").alias("n_words"), "cluster", F.col("kept_id").alias("kept_doc_id"), "removed")
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9)
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_shards, op3_mix, op4_token_counts, op5_packing, op6_simhash, op10_near_vectors)
+    for f in (op2_shards, op3_mix, op4_token_counts, op5_packing, op6_simhash, op7_language_model, op8_fingerprints, op9_paragraphs, op10_near_vectors)
 }
 
 ORACLE: dict[str, str] = {}
