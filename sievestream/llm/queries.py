@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievestream.llm import embeddings, language_model, mixing, packing, paragraphs, sharding, simhash, sketches, token_counts
+from sievestream.llm import embeddings, language_model, mixing, packing, paragraphs, sharding, simhash, sketches, token_counts, toxicity
 from sievestream.llm.common import table, work_dir
 
 SHARDS = 8
@@ -19,6 +19,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(_documents(spark, sf_dir), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -64,7 +68,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_shards, op3_mix, op4_token_counts, op5_packing, op6_simhash, op7_language_model, op8_fingerprints, op9_paragraphs, op10_near_vectors)
+    for f in (op1_toxicity, op2_shards, op3_mix, op4_token_counts, op5_packing, op6_simhash, op7_language_model, op8_fingerprints, op9_paragraphs, op10_near_vectors)
 }
 
 ORACLE: dict[str, str] = {}

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sievestream.llm.common import WORD, ascii_lower, components, cut_lineage
 
@@ -92,3 +92,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, text: str = "text", key:
     first = named.groupBy("component").agg(F.min("_first").alias("component_id"))
     classes = cut_lineage(named.join(first, "component").select("fp", "component_id"), "simhash-classes")
     return rows.join(classes, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row of `docs` for each component: the one with its smallest key (of rows that share this key, one of the lowest text)."""
+    found = near_duplicates(docs, shingle, text, key)
+    dropped = found.where(F.col(key).isNotNull() & (F.col(key) != F.col("component_id"))).select(key).distinct()
+    kept = docs.join(dropped, key, "left_anti").select(*docs.columns)
+    twice = kept.groupBy(key).count().where("count > 1").select(key)
+    single = kept.join(twice, key, "left_anti").select(*docs.columns)
+    first = Window.partitionBy(key).orderBy(text)
+    repeated = kept.join(twice, key, "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+    return single.union(repeated.select(*docs.columns))
