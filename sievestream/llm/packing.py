@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sievestream.llm.common import in_order
+from sievestream.llm.common import cut_lineage, in_order
 from sievestream.llm.tokens import ByteIds, loaded
 
 GRAIN = 8
@@ -155,7 +155,7 @@ def pack(docs: DataFrame, capacity: int, path: str, end_id: int, grain: int = GR
     A null or empty text is the end id alone. Repeated rows are documents of their own, though pieces of one id can then not be told apart. An empty
     table gives no rows. A null key stays null.
     """
-    pieces = cut_pieces(docs, capacity, path, end_id, text=text, key=key)
+    pieces = cut_lineage(cut_pieces(docs, capacity, path, end_id, text=text, key=key), "pack-pieces")  # the ranges sample them, too
     rounded = F.least(F.lit(capacity), F.ceil(F.col("length") / grain) * grain).cast("long")
     ranked = in_order(pieces.withColumn("size", rounded), ["size", "length", "key", "start", "ids_crc32"], None, "pack")
     histogram = {r["size"]: r["n"] for r in ranked.groupBy("size").agg(F.count("*").alias("n")).collect()}

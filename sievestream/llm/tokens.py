@@ -10,13 +10,14 @@ import json
 import os
 import re
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 import tiktoken
 from tokenizers import Tokenizer
 
 #: Pieces that each of the two generations of a worker's memory holds, and the longest piece that is kept. Results do not depend on them.
-MEMORY = 350_000
+MEMORY = 600_000
 LONGEST = 48
 
 #: Fixed value: the public pattern by which this family of byte-level tokenizers cuts a text into words.
@@ -37,23 +38,23 @@ class _Remembering:
     def encode(self, pieces: list[str]) -> list:
         raise NotImplementedError
 
-    def values(self, cut: Sequence[Sequence[str]]) -> list[list]:
-        """The values of all pieces of each text."""
-        found = [list(map(self.young.get, pieces)) for pieces in cut]
-        missing = {p for pieces, values in zip(cut, found) if None in values for p, v in zip(pieces, values) if v is None}
-        if not missing:
-            return found
+    def learn(self, cut: Sequence[Sequence[str]]) -> list[str]:
+        """Sees to it that `young` holds all pieces of these texts; gives the long ones, which may be forgotten after use."""
+        missing = set(chain.from_iterable(cut)).difference(self.young)
         if len(self.young) + len(missing) > MEMORY:
             self.young, self.old = {}, self.young
-        known, new = {p: self.old[p] for p in missing if p in self.old}, [p for p in missing if p not in self.old]
+            missing = set(chain.from_iterable(cut))
+        again = missing.intersection(self.old)
+        self.young.update(zip(again, map(self.old.__getitem__, again)))
+        new = list(missing.difference(again))
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
-            known.update(zip(part, self.encode(part)))
-        self.young.update((p, v) for p, v in known.items() if len(p) <= LONGEST)
-        for k, (pieces, values) in enumerate(zip(cut, found)):
-            if None in values:
-                found[k] = [known[p] if v is None else v for p, v in zip(pieces, values)]
-        return found
+            self.young.update(zip(part, self.encode(part)))
+        return [p for p in new if len(p) > LONGEST]
+
+    def forget(self, pieces: Sequence[str]) -> None:
+        for piece in pieces:
+            del self.young[piece]
 
 
 class WordCounts(_Remembering):
@@ -71,7 +72,10 @@ class WordCounts(_Remembering):
 
     def counts(self, texts: Sequence[str]) -> list[int]:
         cut = [re.split("[ \t\n\r]+", t) if "\n" in t or "\t" in t or "\r" in t else t.split(" ") for t in texts]
-        return [sum(values) for values in self.values(cut)]
+        long = self.learn(cut)
+        counts = [sum(map(self.young.__getitem__, pieces)) for pieces in cut]
+        self.forget(long)
+        return counts
 
 
 class ByteIds(_Remembering):
@@ -120,9 +124,14 @@ class ByteIds(_Remembering):
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         cut = [self._cut(text) for text in texts]
-        # the first piece has no blank before it
-        values = iter(self.values([pieces[1:] for pieces in cut if pieces]))
-        return [self.whole(pieces[0]) + b"".join(next(values)) if pieces else self.whole(text) for text, pieces in zip(texts, cut)]
+        first = [pieces.pop(0) if pieces else None for pieces in cut]  # has no blank before it
+        long = self.learn([pieces for pieces in cut if pieces])
+        ids = [
+            self.whole(text) if pieces is None else self.whole(head) + b"".join(map(self.young.__getitem__, pieces))
+            for text, head, pieces in zip(texts, first, cut)
+        ]
+        self.forget(long)
+        return ids
 
 
 def loaded(kind: Callable[[str], _Remembering], path: str) -> _Remembering:
