@@ -73,9 +73,9 @@ def mix(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: str
 
 
 def repeated(docs: DataFrame, weights: Sequence[float], max_epochs: float, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it. Rows that share a key have the copies of the key's rows in the order of the sample."""
-    copies = mix(docs, weights, max_epochs, text=text, key=key, source=source).groupBy(key).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    copies = copies.where("_copies > 0").withColumnRenamed(key, "_key")
-    joined = docs.join(copies, F.col(key).eqNullSafe(F.col("_key")))
+    """The rows of `docs`, each as often as the mix takes it. Rows that share a key share its copies, rounded up."""
+    copies = mix(docs, weights, max_epochs, text=text, key=key, source=source).groupBy(F.col(key).alias("_key"))
+    copies = copies.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0").withColumnRenamed("_key", "_id")
+    joined = docs.select(F.col(key).alias("_key"), F.struct(*docs.columns).alias("_doc")).join(copies, F.col("_key").eqNullSafe(F.col("_id")))
     share = F.ceil(F.col("_copies") / F.col("_rows")).cast("int")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), share))).select(*docs.columns)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), share))).select("_doc.*")

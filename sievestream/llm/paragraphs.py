@@ -159,8 +159,9 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
         return pd.Series([t if s is None else _without(t, s.tolist()) for t, s in zip(texts, starts)])
 
     own = F.xxhash64(F.col(key), ascii_lower(F.coalesce(F.col(text), F.lit(""))))
-    joined = docs.withColumn("_row", own).join(cuts, "_row", "left")
-    return joined.select(*(cut(F.col(text), F.col("_cuts")).alias(text) if c == text else joined[c] for c in docs.columns))
+    joined = docs.select(own.alias("_row"), F.col(text).alias("_text"), F.struct(*docs.columns).alias("_doc")).join(cuts, "_row", "left")
+    whole = cut(F.col("_text"), F.col("_cuts"))
+    return joined.select(*(whole.alias(c) if c == text else F.col(f"_doc.`{c}`").alias(c) for c in docs.columns))
 
 
 def _without(text: str, starts: list[int]) -> str:

@@ -97,10 +97,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, text: str = "text", key:
 def representatives(docs: DataFrame, shingle: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row of `docs` for each component: the one with its smallest key (of rows that share this key, one of the lowest text)."""
     found = near_duplicates(docs, shingle, text, key)
-    dropped = found.where(F.col(key).isNotNull() & (F.col(key) != F.col("component_id"))).select(key).distinct()
-    kept = docs.join(dropped, key, "left_anti").select(*docs.columns)
-    twice = kept.groupBy(key).count().where("count > 1").select(key)
-    single = kept.join(twice, key, "left_anti").select(*docs.columns)
-    first = Window.partitionBy(key).orderBy(text)
-    repeated = kept.join(twice, key, "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
-    return single.union(repeated.select(*docs.columns))
+    dropped = found.where(F.col(key).isNotNull() & (F.col(key) != F.col("component_id"))).select(F.col(key).alias("_key")).distinct()
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.struct(*docs.columns).alias("_doc")).join(dropped, "_key", "left_anti")
+    twice = cut_lineage(rows.where("_key IS NOT NULL").groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key"), "simhash-repeated")
+    first = Window.partitionBy("_key").orderBy("_text")
+    repeated = rows.join(twice, "_key", "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
+    return rows.join(twice, "_key", "left_anti").select("_doc.*").union(repeated.select("_doc.*"))

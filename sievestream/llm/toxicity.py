@@ -40,6 +40,8 @@ def features(text: Column) -> dict[str, Column]:
     plain = F.regexp_replace(F.translate(lower, "013457@$", "oieastas"), r"(?<=[a-z])[.*_\-](?=[a-z])", "")
     hidden = F.greatest(count(plain, rf"\b(?:{strong})(?:s|es)?\b") - count(lower, rf"\b(?:{strong})(?:s|es)?\b"), F.lit(0.0))
     out["hidden"] = 100 * hidden / words
+    out["strong"] = 100 * count(lower, rf"\b(?:{strong})(?:s|es)?\b") / words
+    out["hits"] = F.least(F.lit(10.0), count(lower, rf"\b(?:{strong})(?:s|es)?\b"))  # a few words in a long text
     out["you"] = 100 * count(lower, rf"\b(?:{YOU})\b") / words
     gap = r"\W+(?:\w+\W+){0,3}"
     out["you_near"] = 100 * count(lower, rf"\b(?:{YOU})\b{gap}(?:{strong})\b|\b(?:{strong})\b{gap}(?:{YOU})\b") / words
@@ -79,7 +81,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
     if not both(*trees_see):
         scored = rows.withColumn("score", F.lit(float(toxic / n if n else 0.0)))
     else:
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1, featuresCol="features", labelCol="label", maxBins=64)
+        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=5, seed=1, featuresCol="features", labelCol="label", maxBins=64)
         model = trees.fit(sample.where("NOT calibrates"))
         probability = vector_to_array("probability")[1]
         scored = model.transform(rows).withColumn("raw", probability)
