@@ -18,7 +18,8 @@ _WORD = re.compile(WORD)
 WORDS = 41
 STEP = 11
 SHINGLE = 5
-#: One hash to a band and two bands: a pair of likeness 0.8 meets with probability 1 - 0.2 ** 2 = 0.96, equal ones always.
+#: One hash to a band and two bands: a pair of likeness 0.8 meets with probability 1 - 0.2 ** 2 = 0.96, equal ones always. A hash counts
+#: with its place, since overlapping pieces of one passage, shifted against each other, would fill the buckets with unlike pairs.
 BANDS = 2
 LIKENESS = 0.8
 ROWS = 512
@@ -61,6 +62,16 @@ def _word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[codes] if len(codes) else np.zeros(0, np.uint64), np.array(sizes, np.int64)
 
 
+def _band(shingles: np.ndarray, at: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each paragraph's lowest shingle and its place: paragraphs meet as they are aligned, not shifted against each other."""
+    span, out = np.arange(WORDS - SHINGLE + 1), np.empty(len(at), np.uint64)
+    for begin in range(0, len(at), 1 << 14):
+        inside = shingles[at[begin : begin + (1 << 14), None] + span]
+        place = inside.argmin(axis=1)
+        out[begin : begin + len(inside)] = inside[np.arange(len(inside)), place] + place.astype(np.uint64)
+    return _mix(out, seed)
+
+
 def _anchored(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Of each paragraph: number of the text, first word, digest, hash of each band."""
     hashes, sizes = _word_hashes(texts)
@@ -79,7 +90,7 @@ def _anchored(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, lis
     anchor[1:] &= (digest[1:] != digest[:-1]) | (text_of[1 : len(digest)] != text_of[: len(digest) - 1])  # of a word on and on, the first only
     at = np.flatnonzero(anchor)
     shingles = _runs(hashes, SHINGLE)
-    bands = [_mix(_sliding(_mix(shingles, 10 + b), WORDS - SHINGLE + 1, np.minimum)[at], 100 + b) for b in range(BANDS)]
+    bands = [_band(_mix(shingles, 10 + b), at, 100 + b) for b in range(BANDS)]
     return text_of[at], at - starts[text_of[at]], digest[at], bands
 
 
