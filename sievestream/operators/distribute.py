@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sievestream.session import cut_lineage
+
 DEFAULT_SALTS = 16
-SPLITS_PER_GROUP = 256
 _MAP_SIDE_RANKS = 1000
 
 
@@ -47,43 +48,25 @@ def first_per_group(
 
 
 def number_rows(df: DataFrame, groups: Sequence[str], order: str, name: str = "idx") -> DataFrame:
-    """0-based position of every row within its group by a numeric, unique `order` column.
+    """0-based position of every row within its group by a unique `order` column of any sortable type.
 
-    A plain `row_number()` sorts each group in one task. Here every group is cut into ranges of about equal size;
-    rows are numbered within their range and shifted by the size of the ranges before it. The cut points only
-    balance the work: the numbers are exact wherever they fall. They come to the driver once (at most
-    `SPLITS_PER_GROUP` numbers for each group) so that both uses of the frame see the same ranges; meant for
-    a handful of groups, such as the collector types.
+    A plain `row_number()` sorts each group in one task. Here all rows are dealt to ranges of (groups, order) and numbered
+    range by range; a group's number begins where its rows of the ranges before end. The ranges are written once, so that
+    both steps see the same; only one row for each group and range is left to sum up.
     """
-    spark = df.sparkSession
-    cuts = (
-        df.groupBy(*groups)
-        .agg(
-            F.percentile_approx(
-                F.col(order).cast("double"), [i / SPLITS_PER_GROUP for i in range(1, SPLITS_PER_GROUP)], F.lit(10000)
-            ).alias("_cuts")
-        )
-    )
-    cuts = spark.createDataFrame(cuts.collect(), cuts.schema)
-    ranged = (
-        df.join(F.broadcast(cuts), _null_safe(df, cuts, groups), "left")
-        .select(*[df[c] for c in df.columns], F.array_distinct("_cuts").alias("_cuts"))
-        .withColumn("_range", F.size(F.filter("_cuts", lambda c: c <= F.col(order).cast("double"))))
-        .drop("_cuts")
-    )
-    before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*groups, "_range")
-        .count()
-        .select(*groups, "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = Window.partitionBy(*groups, "_range").orderBy(order)
-    numbered = ranged.withColumn("_pos", F.row_number().over(local) - 1)
-    keys = [*groups, "_range"]
-    return (
-        numbered.join(offsets, _null_safe(numbered, offsets, keys))
-        .select(*[numbered[c] for c in df.columns], (F.col("_pos") + F.col("_offset")).alias(name))
+    place = [*groups, order]
+    ranged = df.repartitionByRange(*place).sortWithinPartitions(*place)
+    # The id counts the rows of a partition in its lower 33 bits.
+    numbered = ranged.withColumn("_part", F.spark_partition_id()).withColumn(
+        "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     )
+    numbered = cut_lineage(numbered, "numbered")
+    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = numbered.groupBy(*groups, "_part").agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
+    offsets = counts.select(*groups, "_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    offsets = cut_lineage(offsets, "number-offsets")
+    joined = numbered.join(offsets, _null_safe(numbered, offsets, [*groups, "_part"]))
+    return joined.select(*[numbered[c] for c in df.columns], (F.col("_pos") - F.col("_first") + F.col("_offset")).alias(name))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

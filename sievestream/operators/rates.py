@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievestream.functions import values as V
@@ -30,7 +33,7 @@ def rolling_counts(
     No task sees more than one slice of one key (or a few thousand slice totals).
     """
     window_us = window_seconds * V.MICROS
-    n_slices = _SLICES if window_us % _SLICES == 0 else 1
+    n_slices = max(n for n in range(1, _SLICES + 1) if window_us % n == 0)
     slice_us = window_us // n_slices
     slice_of = lambda c: V.floor_div(c, slice_us)
 
@@ -78,12 +81,27 @@ def current_version(counts: DataFrame, versions: DataFrame) -> DataFrame:
     return counts.join(newest, "rules_version", "left_semi")
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def _seconds(interval: str) -> int:
+    found = re.fullmatch(r"(\d+) (second|minute|hour|day)s?", interval)
+    if not found:
+        raise ValueError(f"not a whole number of seconds, minutes, hours or days: {interval!r}")
+    return int(found[1]) * _SECONDS[found[2]]
+
+
+def pane_length(window: str, every: str) -> str:
+    """The longest pane that windows of this length and step are made of."""
+    return f"{math.gcd(_seconds(window), _seconds(every))} seconds"
+
+
 def limit_windows(limits: DataFrame, window: str = "900 seconds", every: str = "900 seconds") -> DataFrame:
     """Per window of (ts, limit_value): how many notices, their sum and maximum, and the latest value.
 
-    Sliding windows are combined from panes of length `every`, so a row is counted once, not once per window.
+    Sliding windows are combined from panes that length and step have in common, so a row is counted once, not once per window.
     """
-    pane = F.window("ts", every)
+    pane = F.window("ts", pane_length(window, every))
     value = F.col("limit_value")
     panes = limits.groupBy(pane.alias("pane")).agg(
         F.count(value).alias("n"), F.sum(value).alias("total"), F.max(value).alias("top"),

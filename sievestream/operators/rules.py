@@ -156,17 +156,19 @@ def plan_instances(rules: DataFrame, caps: dict[str, int] = SHARD_CAPS) -> DataF
     return counts.withColumn("n_instances", F.ceil(F.col("n_rules") / _cap(caps)).cast("long"))
 
 
-def cap_per_instance(rules: DataFrame, order: str = "rule_id", caps: dict[str, int] = SCAN_CAPS) -> DataFrame:
-    """The first rules of each instance, up to what its type may hold."""
-    keys = ["rule_type", "instance_id"]
-    parts = [
-        first_per_group(rules.where(F.col("rule_type") == kind), keys, [order], cap, F.col(order))
-        for kind, cap in caps.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def _place_in_instance(rules: DataFrame, caps: dict[str, int], order: str) -> DataFrame:
+    numbered = number_rows(rules, ["rule_type", "instance_id"], order, "_place")
+    return numbered.withColumn("_kept", F.col("_place") < _cap(caps))
+
+
+def cap_per_instance(rules: DataFrame, caps: dict[str, int], order: str = "rule_id") -> DataFrame:
+    """The first rules of each instance, up to `caps` of its type (an unknown type is an error); `over_cap` has the others."""
+    return _place_in_instance(rules, caps, order).where("_kept").select(*rules.columns)
+
+
+def over_cap(rules: DataFrame, caps: dict[str, int], order: str = "rule_id") -> DataFrame:
+    """The rules that `cap_per_instance` leaves out."""
+    return _place_in_instance(rules, caps, order).where("NOT _kept").select(*rules.columns)
 
 
 def fold_locations(rules: DataFrame, order: str) -> DataFrame:

@@ -8,13 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievestream.functions import geo as G
 from sievestream.functions import values as V
-from sievestream.operators.matching import keyword_pairs, substring_hits
-from sievestream.session import rows_if_at_most
+from sievestream.operators.matching import check_form, few_rows, keyword_pairs, substring_hits
 from sievestream.schemas import MAX_TRACK_LENGTH
 
-RECENT_MESSAGES = 100
 TOO_FAST_TO_MEASURE = 10000.0
-IN_PLACE_MAX_KEYWORDS = 20_000
 TOO_LONG = "The byte length of the track phrase is over 60."
 
 
@@ -50,17 +47,17 @@ def _status(ok: Column) -> Column:
 def recent_by_keyword(
     messages: DataFrame,
     keywords: DataFrame,
-    n: int = RECENT_MESSAGES,
-    max_in_place: int = IN_PLACE_MAX_KEYWORDS,
+    n: int | None,
+    form: str = "in_place",
 ) -> DataFrame:
-    """(keyword, row_id, ts) of the newest `n` messages that contain each keyword, whatever its case.
+    """(keyword, row_id, ts) of the newest `n` messages (None: all) that contain each keyword, whatever its case.
 
     `messages` is (row_id, ts, text), `keywords` is (keyword). Ranks are cut in the map tasks, so a keyword found
     everywhere does not move everything to one task.
     """
     asked = keywords.select("keyword").where("keyword IS NOT NULL").distinct()
-    few = rows_if_at_most(asked.withColumn("lowered", F.lower("keyword")), max_in_place)
-    if few is not None:
+    if check_form(form) == "in_place":
+        few = few_rows(asked.withColumn("lowered", F.lower("keyword")), "keywords")
         words = [r["keyword"] for r in few]
         entries = [(i, (r["lowered"],)) for i, r in enumerate(few)]
         found = substring_hits(messages.sparkSession, F.lower("text"), entries)
@@ -73,6 +70,8 @@ def recent_by_keyword(
         pairs = keyword_pairs(texts.select("row_id", "keyword"), terms)
         both = texts.select("row_id", "ts", F.col("keyword").alias("text")).join(pairs, "row_id")
         hits = both.where(F.contains(F.col("text"), F.lower("rule_id"))).select("row_id", "ts", F.col("rule_id").alias("keyword"))
+    if n is None:
+        return hits.withColumn("rank", F.lit(None).cast("int")).select("keyword", "row_id", "ts", "rank")
     newest = Window.partitionBy("keyword").orderBy(F.col("ts").desc(), F.col("row_id").desc())
     ranked = hits.withColumn("rank", F.row_number().over(newest))
     return ranked.where(F.col("rank") <= n).select("keyword", "row_id", "ts", "rank")
@@ -122,11 +121,11 @@ def validate_follow(rules: DataFrame, users: DataFrame, columns: list[str] | Non
     return _result(found, columns, status=F.col("status"), error=error, code=code, userid=F.col("userid"))
 
 
-def validate_track(rules: DataFrame, messages: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def validate_track(rules: DataFrame, messages: DataFrame, columns: list[str] | None = None, n: int | None = 100, form: str = "in_place") -> DataFrame:
     columns = columns or rules.columns
     too_long = is_too_long(F.col("value"))
     keywords = rules.where(~too_long).select(F.col("value").alias("keyword")).distinct()
-    rates = volume(recent_by_keyword(messages, keywords), keywords).withColumnRenamed("keyword", "value")
+    rates = volume(recent_by_keyword(messages, keywords, n, form), keywords).withColumnRenamed("keyword", "value")
     rated = rules.select(*columns).join(rates, "value", "left")
     return _result(
         rated,

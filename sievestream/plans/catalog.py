@@ -17,6 +17,7 @@ from sievestream.operators import validate as Y
 from sievestream.plans import feeds as D
 from sievestream.plans.enrich import enrich
 from sievestream.plans.rule_etl import clean_rules
+from sievestream.schemas import SCAN_CAPS
 from sievestream.session import work_dir
 from sievestream.sources import messages as SM
 from sievestream.sources import rules as SR
@@ -50,14 +51,9 @@ def _document_content(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def match_keyword(spark, sf):
     rules = D.benchmark_rules(D.table(spark, sf, "benchmark"))
-    bag = X.rule_bag(rules, "track")
-    documents = D.documents(spark, sf)
-    if bag is None:
-        pairs = X.match_pairs(_document_content(spark, sf), rules, "track")
-        rows = pairs.join(X.matched_rules(rules), "rule_id").select(F.col("row_id").alias("doc_id"), F.struct("*").alias("r"))
-    else:
-        tagged = X.match_in_place(documents.select("doc_id", "text"), bag, {"keyword": F.lower("text")})
-        rows = tagged.select("doc_id", F.explode("collection_rules").alias("r"))
+    documents = D.documents(spark, sf).select("doc_id", "text")
+    tagged = X.match_in_place(documents, X.rule_bag(rules, "track"), {"keyword": F.lower("text")})
+    rows = tagged.select("doc_id", F.explode("collection_rules").alias("r"))
     return rows.select("doc_id", "r.rule_id", "r.rule_tag", "r.rule_value")
 
 
@@ -72,11 +68,7 @@ def match_keyword_joins(spark, sf):
 def match_not_found(spark, sf):
     rules = D.benchmark_rules(D.table(spark, sf, "benchmark"))
     content = _document_content(spark, sf)
-    bag = X.rule_bag(rules, "track")
-    if bag is None:
-        tagged = X.tag_by_joins(content, rules, "track")
-    else:
-        tagged = X.match_in_place(content, bag, {"keyword": F.col("keyword")})
+    tagged = X.match_in_place(content, X.rule_bag(rules, "track"), {"keyword": F.col("keyword")})
     return X.mark_unmatched(tagged, "track", 0).select(
         F.col("row_id").alias("doc_id"),
         F.size("collection_rules").cast("long").alias("n_rules"),
@@ -86,8 +78,36 @@ def match_not_found(spark, sf):
     )
 
 
+def _nameless_rules(spark, sf):
+    """Rules whose ids repeat or are missing, and one of blanks only."""
+    nation = D.table(spark, sf, "nation")
+    parts = [
+        nation.select(F.when(F.col("n_nationkey") % 3 > 0, F.col("n_regionkey").cast("string")).alias("rule_id"), F.lower(F.substring("n_name", 1, 2)).alias("value")),
+        nation.where("n_nationkey < 3").select(F.lit("twice").alias("rule_id"), F.concat(F.lit("the "), F.lower(F.substring("n_name", 1, 1))).alias("value")),
+        nation.where("n_nationkey = 0").select(F.lit(None).cast("string").alias("rule_id"), F.lit("  ").alias("value")),
+    ]
+    rules = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rules.select("*", F.lit("t").alias("tag"), F.lit("keyword").alias("orig_type"))
+
+
+def _nameless_counts(tagged):
+    rules = tagged.select(F.col("row_id").alias("doc_id"), F.explode("collection_rules").alias("r"))
+    return rules.groupBy("doc_id", "r.rule_id", "r.value").agg(F.count("*").alias("n"))
+
+
+@query
+def match_nameless(spark, sf):
+    content, bag = _document_content(spark, sf), X.rule_bag(_nameless_rules(spark, sf), "track")
+    return _nameless_counts(X.match_in_place(content, bag, {"keyword": F.col("keyword")}))
+
+
+@query
+def match_nameless_joins(spark, sf):
+    return _nameless_counts(X.tag_by_joins(_document_content(spark, sf), _nameless_rules(spark, sf), "track"))
+
+
 def _customer_rules(spark, sf):
-    customer = D.table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
+    customer = D.table(spark, sf, "customer")
     return customer.select(
         F.col("c_custkey").cast("string").alias("rule_id"),
         F.col("c_custkey").cast("string").alias("value"),
@@ -180,17 +200,14 @@ def locations_fold(spark, sf):
 def collect_filter(spark, sf):
     rules = D.benchmark_rules(D.table(spark, sf, "benchmark"))
     content = _document_content(spark, sf)
-    bag = X.rule_bag(rules, "track")
-    if bag is None:
-        return X.match_pairs(content, rules, "track").select(F.col("row_id").alias("doc_id")).distinct()
-    tagged = X.match_in_place(content, bag, {"keyword": F.col("keyword")})
+    tagged = X.match_in_place(content, X.rule_bag(rules, "track"), {"keyword": F.col("keyword")})
     return X.matching_only(tagged).select(F.col("row_id").alias("doc_id"))
 
 
 def _within(spark, sf, **options):
     customer = D.table(spark, sf, "customer")
     boxes = D.table(spark, sf, "supplier").select(D.supplier_box().alias("value"))
-    inside = X.within_boxes(customer, boxes, D.customer_area(), "c_custkey", **options)
+    inside = X.within_boxes(customer, boxes, D.customer_area(), **options)
     return inside.select("c_custkey", "c_name")
 
 
@@ -201,7 +218,7 @@ def collect_locations(spark, sf):
 
 @query
 def collect_locations_grid(spark, sf):
-    return _within(spark, sf, max_in_place=0)
+    return _within(spark, sf, form="joins")
 
 
 # --- messages ------------------------------------------------------------------------------------------------------
@@ -414,12 +431,19 @@ def rule_shard(spark, sf):
 
 @query
 def rule_table_round_trip(spark, sf):
+    """Every rule of every type, from the instance's folder it was written to."""
     path = work_dir(spark, "sharded-rules")
     K.write_sharded_rules(D.all_rules(spark, sf), path, "rule_id")
     table = spark.read.parquet(path)
-    return R.rule_count(SR.instance_rules(table, "follow", 0).unionByName(SR.instance_rules(table, "track", 1))).select(
-        "rule_type", F.col("instance_id").cast("long").alias("instance_id"), "rule_count"
-    )
+    return table.select("rule_type", "rule_id", F.col("idx").cast("long").alias("idx"), F.col("instance_id").cast("long").alias("instance_id"))
+
+
+@query
+def rule_shard_text(spark, sf):
+    """Sharded by a text id."""
+    rules = D.all_rules(spark, sf).withColumn("rule_id", F.concat(F.lit("r"), "rule_id"))
+    sharded = R.shard(rules, "rule_id")
+    return sharded.select("rule_type", "rule_id", F.col("idx").cast("long").alias("idx"), "instance_id")
 
 
 @query
@@ -443,12 +467,14 @@ def _assigned_rules(spark, sf):
 
 @query
 def rule_cap(spark, sf):
-    return R.cap_per_instance(_assigned_rules(spark, sf))
+    rules = _assigned_rules(spark, sf)
+    kept = R.cap_per_instance(rules, SCAN_CAPS).withColumn("kept", F.lit(True))
+    return kept.unionByName(R.over_cap(rules, SCAN_CAPS).withColumn("kept", F.lit(False)))
 
 
 @query
 def rule_count_gauge(spark, sf):
-    return R.rule_count(R.cap_per_instance(_assigned_rules(spark, sf)))
+    return R.rule_count(_assigned_rules(spark, sf))
 
 
 @query
@@ -541,20 +567,20 @@ def _keywords(spark, sf):
 
 @query
 def recent_by_keyword(spark, sf):
-    found = Y.recent_by_keyword(_document_messages(spark, sf), _keywords(spark, sf))
+    found = Y.recent_by_keyword(_document_messages(spark, sf), _keywords(spark, sf), 100)
     return found.select("keyword", F.col("row_id").alias("doc_id"), F.col("rank").cast("long").alias("rank"))
 
 
 @query
 def recent_by_keyword_joins(spark, sf):
-    found = Y.recent_by_keyword(_document_messages(spark, sf), _keywords(spark, sf), max_in_place=0)
+    found = Y.recent_by_keyword(_document_messages(spark, sf), _keywords(spark, sf), 100, form="joins")
     return found.select("keyword", F.col("row_id").alias("doc_id"), F.col("rank").cast("long").alias("rank"))
 
 
 @query
 def tweets_per_second(spark, sf):
     keywords = _keywords(spark, sf)
-    return Y.volume(Y.recent_by_keyword(_document_messages(spark, sf), keywords), keywords)
+    return Y.volume(Y.recent_by_keyword(_document_messages(spark, sf), keywords, 100), keywords)
 
 
 @query

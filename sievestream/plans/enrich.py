@@ -28,18 +28,21 @@ def prepare(
 
 
 def tag(
-    prepared: DataFrame, rules: DataFrame, collector_type: str, instance_id: int, order: str = "rule_id"
+    prepared: DataFrame, rules: DataFrame, collector_type: str, instance_id: int, order: str = "rule_id", form: str = "in_place"
 ) -> DataFrame:
-    """Adds `collection_rules` (null for what is not a tweet) and the marker for tweets without a match."""
+    """Adds `collection_rules` (null for what is not a tweet) and the marker for tweets without a match.
+
+    `form` is how rules meet messages (see operators.matching); joins need a table or a micro-batch.
+    """
     check_collector_type(collector_type)
+    X.check_form(form)
     if collector_type == "locations":
         tagged = _tag_locations(prepared, rules, order)
     else:
-        bag = X.rule_bag(rules, collector_type, order)
-        if bag is not None:
-            tagged = X.match_in_place(prepared, bag, contents(collector_type))
+        if form == "in_place":
+            tagged = X.match_in_place(prepared, X.rule_bag(rules, collector_type, order), contents(collector_type))
         elif prepared.isStreaming:
-            raise ValueError("too many rules for one collector instance: shard the rule table first")
+            raise ValueError("the join form needs a micro-batch: call enrich() inside foreachBatch")
         else:
             with_content = prepared.select("*", *[c.alias(k) for k, c in contents(collector_type).items()])
             tagged = X.tag_by_joins(with_content, rules, collector_type, order=order).drop(*MATCHABLE_KINDS[collector_type])
@@ -51,6 +54,7 @@ def tag(
 def _tag_locations(prepared: DataFrame, rules: DataFrame, order: str) -> DataFrame:
     """Every tweet of a locations collector carries the one folded rule; where it lies is not tested again."""
     source = rules if order != "rule_id" else rules.withColumn("_seq", F.col("rule_id"))
+    source = X.with_basic_fields(source)
     folded = R.fold_locations(source, "_seq" if order == "rule_id" else order)
     row = folded.collect()[0].asDict()  # one row by construction
     fields = [F.lit(v).cast("string").alias(k) for k, v in row.items()]
@@ -77,7 +81,8 @@ def enrich(
     order: str = "rule_id",
     meta: str = DEFAULT_META,
     observation: Observation | str | None = None,
+    form: str = "in_place",
 ) -> DataFrame:
     """Message lines in; one row per well-formed message out, with `collection_rules` and the `output` line."""
     prepared = prepare(lines, instance_id, meta, observation)
-    return add_output(tag(prepared, rules, collector_type, instance_id, order), meta)
+    return add_output(tag(prepared, rules, collector_type, instance_id, order, form), meta)

@@ -57,6 +57,16 @@ all_rules AS (
   UNION ALL SELECT 'locations', s_suppkey, 25 FROM supplier
 )"""
 
+NAMELESS = """
+WITH rules AS (
+  SELECT CASE WHEN n_nationkey % 3 > 0 THEN n_regionkey::VARCHAR END AS rule_id, lower(left(n_name, 2)) AS value FROM nation
+  UNION ALL SELECT 'twice', 'the ' || lower(left(n_name, 1)) FROM nation WHERE n_nationkey < 3
+  UNION ALL SELECT NULL, '  '
+)
+SELECT doc_id, rule_id, value, count(*) AS n FROM documents, rules
+WHERE list_bool_and(list_transform(string_split(value, ' '), lambda w: contains(lower(text), w)))
+GROUP BY ALL"""
+
 ASSIGNED = """
 assigned AS (
   SELECT 'follow' AS rule_type, 0 AS instance_id, c_custkey AS rule_id, 5000 AS cap FROM customer
@@ -64,9 +74,8 @@ assigned AS (
   UNION ALL SELECT 'locations', s_nationkey, s_suppkey, 1 FROM supplier
 ),
 capped AS (
-  SELECT rule_type, instance_id, rule_id FROM (
+  SELECT rule_type, instance_id, rule_id, rn <= cap AS kept FROM (
     SELECT *, row_number() OVER (PARTITION BY rule_type, instance_id ORDER BY rule_id) AS rn FROM assigned)
-  WHERE rn <= cap
 )"""
 
 BOXES = """
@@ -199,8 +208,7 @@ FROM documents LEFT JOIN pairs USING (doc_id) GROUP BY doc_id"""
 
 KEYWORD_LONG = f"WITH {KEYWORD_PAIRS} SELECT doc_id, rule_id FROM pairs"
 USERID_LONG = """
-SELECT event_id, c_custkey::VARCHAR AS rule_id FROM events JOIN customer ON user_id = c_custkey
-WHERE c_mktsegment = 'BUILDING'"""
+SELECT event_id, c_custkey::VARCHAR AS rule_id FROM events JOIN customer ON user_id = c_custkey"""
 HASHTAG_LONG = "SELECT doc_id, upper(lang) || ' ' || source AS rule_id FROM documents"
 WITHIN = f"""
 WITH {BOXES}
@@ -214,6 +222,8 @@ ORACLE: dict[str, str] = {
     "match_keyword": f"""
         WITH {KEYWORD_PAIRS} SELECT doc_id, rule_id, 'bench' AS rule_tag, value AS rule_value FROM pairs""",
     "match_keyword_joins": KEYWORD_LONG,
+    "match_nameless": NAMELESS,
+    "match_nameless_joins": NAMELESS,
     "match_not_found": f"""
         WITH {KEYWORD_PAIRS}
         SELECT doc_id, count(rule_id) AS n_rules, CASE WHEN count(rule_id) = 0 THEN 'track' END AS rule_type,
@@ -297,8 +307,12 @@ ORACLE: dict[str, str] = {
     "rule_table_round_trip": f"""
         WITH {ALL_RULES},
         numbered AS (SELECT *, row_number() OVER (PARTITION BY rule_type ORDER BY rule_id) - 1 AS idx FROM all_rules)
-        SELECT rule_type, (idx // cap)::BIGINT AS instance_id, count(*) AS rule_count FROM numbered
-        WHERE (rule_type = 'follow' AND idx // cap = 0) OR (rule_type = 'track' AND idx // cap = 1) GROUP BY ALL""",
+        SELECT rule_type, rule_id, idx, (idx // cap)::BIGINT AS instance_id FROM numbered""",
+    "rule_shard_text": f"""
+        WITH {ALL_RULES},
+        named AS (SELECT rule_type, 'r' || rule_id AS rule_id, cap FROM all_rules),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY rule_type ORDER BY rule_id) - 1 AS idx FROM named)
+        SELECT rule_type, rule_id, idx, (idx // cap)::INT AS instance_id FROM numbered""",
     "rule_instances": f"""
         WITH {ALL_RULES}
         SELECT rule_type, count(*) AS n_rules, ceil(count(*) / any_value(cap)::DOUBLE)::BIGINT AS n_instances

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 
 def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
@@ -23,6 +25,7 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_MADE: list[str] = []
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
@@ -30,12 +33,27 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         context = spark.sparkContext
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         if context.applicationId not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="sievestream-")
         root = _LOCAL_ROOTS[context.applicationId]
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the folders that were made inside; results have to be written by then."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        for path in _MADE[before:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        del _MADE[before:]
 
 
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
@@ -45,7 +63,7 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def rows_if_at_most(df: DataFrame, max_rows: int) -> list[Row] | None:
-    """The rows when there are at most `max_rows`, else None: nothing larger reaches the driver."""
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
+def rows_within(df: DataFrame, max_bytes: int) -> list[Row] | None:
+    """The rows when their JSON takes at most `max_bytes`, else None; measured before any row reaches the driver."""
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size")).first()["size"] or 0
+    return df.collect() if size <= max_bytes else None

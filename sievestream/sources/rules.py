@@ -45,11 +45,13 @@ def read_sharded_rules(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SHARDED_RULE_DDL).parquet(path)
 
 
-def instance_rules(table: DataFrame, collector_type: str, instance_id: int, order: str = "rule_id") -> DataFrame:
-    """The rules of one collector instance, at most as many as its type may hold.
+def instance_rules(
+    table: DataFrame, collector_type: str, instance_id: int, order: str = "rule_id", cap: int | None = None
+) -> DataFrame:
+    """The rules of one collector instance: all of them, or the first `cap` (`over_cap` of operators.rules has the rest).
 
     On a table written by `write_sharded_rules` only the instance's folder is read.
     """
     check_collector_type(collector_type)
     own = table.where((F.col("rule_type") == collector_type) & (F.col("instance_id") == instance_id))
-    return cap_per_instance(own, order)
+    return own if cap is None else cap_per_instance(own, {collector_type: cap}, order)

@@ -11,6 +11,7 @@ from sievestream.operators.limiter import Bucket
 from sievestream.operators.rates import rule_increments
 from sievestream.plans.enrich import enrich
 from sievestream.schemas import DEFAULT_META
+from sievestream.session import work_scope
 from sievestream.streaming.limiter import EXPIRATION_SECONDS, keyed_rows, rate_limit_stream, sendable, series
 
 Sink = Callable[[DataFrame, int], None]
@@ -28,6 +29,7 @@ def start_collector(
     on_increments: Sink | None = None,
     meta: str = DEFAULT_META,
     available_now: bool = False,
+    form: str = "in_place",
 ) -> StreamingQuery:
     """Starts the query; `sink` gets every micro-batch (with an `output` column) and its id.
 
@@ -41,16 +43,19 @@ def start_collector(
     if bucket is None:
 
         def on_batch(batch: DataFrame, batch_id: int) -> None:
-            enriched = enrich(batch, read_rules(), collector_type, instance_id, meta=meta)
-            if on_increments is not None and collector_type != "locations":
-                # Both outputs come from one enrichment.
-                enriched.persist()
-                on_increments(rule_increments(enriched, F.col("ingest_ts").alias("ts")), batch_id)
-            sink(enriched, batch_id)
-            enriched.unpersist()
+            with work_scope(batch.sparkSession):
+                enriched = enrich(batch, read_rules(), collector_type, instance_id, meta=meta, form=form)
+                if on_increments is not None and collector_type != "locations":
+                    # Both outputs come from one enrichment.
+                    enriched.persist()
+                    on_increments(rule_increments(enriched, F.col("ingest_ts").alias("ts")), batch_id)
+                sink(enriched, batch_id)
+                enriched.unpersist()
 
         stream = lines
     else:
+        if form != "in_place":
+            raise ValueError("with a limiter the rules travel with the query's plan: form='in_place'")
         enriched = enrich(lines, read_rules(), collector_type, instance_id, meta=meta)
         stream = rate_limit_stream(keyed_rows(enriched), bucket, None if available_now else EXPIRATION_SECONDS)
 

@@ -46,19 +46,18 @@ def test_track_forms_agree(spark, make_rules, seed):
     expected = brute_force(messages, rules, ("keyword", "hashtag"))
     assert expected
     assert ids(X.match_long(frame, table, "track")) == expected
-    assert ids(X.match_long(frame, table, "track", max_rules=3)) == expected
+    assert ids(X.match_long(frame, table, "track", form="joins")) == expected
     joined = X.tag_by_joins(frame, table, "track")
     in_place = X.match_in_place(frame, X.rule_bag(table, "track"), {k: F.col(k) for k in ("keyword", "hashtag")})
     as_lists = lambda df: {r[0]: r[1] for r in df.select("row_id", "collection_rules.rule_id").collect()}
     assert as_lists(joined) == as_lists(in_place)
 
 
-def test_contains_form_agrees_with_automaton(spark, monkeypatch):
+def test_contains_form_agrees_with_automaton(spark):
     entries = [(i, (f"w{i}", "x")) for i in range(20)] + [(20, ("",))]
     texts = spark.createDataFrame([("w1 w12 x",), ("w3",), ("",), (None,)], "t STRING")
     fast = [r[0] for r in texts.select(X.substring_hits(spark, F.col("t"), entries)).collect()]
-    monkeypatch.setattr(X, "_has_automaton", lambda: False)
-    slow = [r[0] for r in texts.select(X.substring_hits(spark, F.col("t"), entries)).collect()]
+    slow = [r[0] for r in texts.select(X.substring_hits(spark, F.col("t"), entries, automaton=False)).collect()]
     assert fast[:3] == slow[:3] == [[1, 12, 20], [20], [20]]
 
 
@@ -139,7 +138,7 @@ def test_locations_filter_forms_agree(spark, make_lines):
     parsed = M.parse(make_lines(*messages))
     table = spark.createDataFrame(boxes, "value STRING")
     few = {r[0] for r in X.within_boxes(parsed, table, G.message_area()).select("row_id").collect()}
-    many = {r[0] for r in X.within_boxes(parsed, table, G.message_area(), max_in_place=0).select("row_id").collect()}
+    many = {r[0] for r in X.within_boxes(parsed, table, G.message_area(), form="joins").select("row_id").collect()}
     expected = set()
     for i, m in enumerate(messages):
         if "place" not in m:
@@ -155,3 +154,29 @@ def test_locations_filter_forms_agree(spark, make_lines):
 
 def test_contents_follow_the_collector_type(spark):
     assert set(contents("track")) == {"keyword", "hashtag"} and set(contents("follow")) == {"userid", "username"}
+
+
+def test_every_row_is_a_rule_in_both_forms(spark):
+    rows = [("r1", "red door"), ("r1", "cat"), (None, "big"), ("r3", "big"), ("r3", "big"), (None, "  "), ("r4", None)]
+    rules = spark.createDataFrame([(i, v, "t", "keyword") for i, v in rows], "rule_id STRING, value STRING, tag STRING, orig_type STRING")
+    texts = [("a", "big red door"), ("a", "big cat"), (None, "nothing")]
+    frame = spark.createDataFrame([(i, t, []) for i, t in texts], "row_id STRING, keyword STRING, hashtag ARRAY<STRING>")
+    joined = X.tag_by_joins(frame, rules, "track")
+    in_place = X.match_in_place(frame, X.rule_bag(rules, "track"), {k: F.col(k) for k in ("keyword", "hashtag")})
+    both = [sorted((r["keyword"], [(x["rule_id"], x["value"]) for x in r["collection_rules"]]) for r in df.collect()) for df in (joined, in_place)]
+    assert both[0] == both[1]
+    assert [len(found) for _, found in both[0]] == [5, 5, 1]
+    pairs = [sorted(map(str, X.match_long(frame, rules, "track", form=form).collect())) for form in X.FORMS]
+    assert pairs[0] == pairs[1]
+
+
+def test_too_many_rules_for_the_plan_are_an_error(make_rules):
+    with pytest.raises(ValueError, match="form='joins'"):
+        X.rule_bag(make_rules(*[rule(i, f"w{i}", "keyword") for i in range(50)]), "track", max_bytes=1000)
+
+
+def test_many_set_rules_in_place(spark):
+    rules = spark.range(25_000).selectExpr("CAST(id AS STRING) AS rule_id", "CONCAT('n', id) AS value", "'userid' AS orig_type")
+    frame = spark.createDataFrame([(1, ["n3", "n24999", "x"]), (2, ["n25000"]), (3, None)], "row_id INT, userid ARRAY<STRING>")
+    frame = frame.withColumn("username", F.array().cast("array<string>"))
+    assert ids(X.match_long(frame, rules, "follow")) == {(1, "3"), (1, "24999")} == ids(X.match_long(frame, rules, "follow", form="joins"))

@@ -131,7 +131,11 @@ def test_cap_per_instance(spark):
     rules = spark.range(12_000).select(
         F.col("id").alias("rule_id"), F.lit("follow").alias("rule_type"), (F.col("id") % 2).cast("int").alias("instance_id")
     )
-    kept = R.cap_per_instance(rules)
+    caps = {"follow": 5000}
+    kept = R.cap_per_instance(rules, caps)
+    assert R.over_cap(rules, caps).count() == 2000
+    with pytest.raises(Exception, match="unknown collector type"):
+        R.cap_per_instance(rules.withColumn("rule_type", F.lit("odd")), caps).collect()
     assert kept.groupBy("instance_id").count().orderBy("instance_id").collect() == [(0, 5000), (1, 5000)]
     assert kept.agg(F.max("rule_id")).collect()[0][0] == 9999
 

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from sievestream.session import rows_if_at_most, work_dir
+from sievestream.session import rows_within, work_dir
 
 
 def session_without_setting(master):
@@ -24,5 +24,6 @@ def test_without_setting_only_local_mode_gets_a_folder():
 
 
 def test_bounded_read(spark):
-    assert len(rows_if_at_most(spark.range(3), 3)) == 3
-    assert rows_if_at_most(spark.range(4), 3) is None
+    assert len(rows_within(spark.range(3), 24)) == 3
+    assert rows_within(spark.range(4), 24) is None
+    assert rows_within(spark.range(0), 24) == []

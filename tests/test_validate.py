@@ -99,15 +99,15 @@ def test_validate_dispatch(spark):
     assert got[("keyword", "漢" * 21)]["error"] == "The byte length of the track phrase is over 60."
 
 
-@pytest.mark.parametrize("max_in_place", [100, 0])
-def test_recent_messages_and_volume(spark, max_in_place):
+@pytest.mark.parametrize("form", ["in_place", "joins"])
+def test_recent_messages_and_volume(spark, form):
     messages = spark.range(300).select(
         F.format_string("%04d", "id").alias("row_id"),
         F.timestamp_seconds(F.when(F.col("id") < 290, F.col("id")).otherwise(1000)).alias("ts"),
         F.when(F.col("id") % 3 == 0, "The red Door").when(F.col("id") >= 298, "twice").otherwise("red and door").alias("text"),
     )
     keywords = spark.createDataFrame([("Red door",), ("red",), ("twice",), ("none",)], "keyword STRING")
-    recent = Y.recent_by_keyword(messages, keywords, max_in_place=max_in_place)
+    recent = Y.recent_by_keyword(messages, keywords, 100, form)
     ranks = {r[0]: (r[1], r[2]) for r in recent.groupBy("keyword").agg(F.count("*"), F.max("rank")).collect()}
     assert ranks == {"Red door": (100, 100), "red": (100, 100), "twice": (2, 2)}
     rates = {r[0]: r[1] for r in Y.volume(recent, keywords).collect()}
