@@ -86,15 +86,13 @@ def _placed(keyed: DataFrame, bucket: Bucket, row_id: str, key: str, ts: str) ->
     return cut_lineage(timed.withColumn("cell", V.floor_div(F.col("at"), bucket.idle_us)), "limiter")
 
 
-def _admitted(placed: DataFrame, bucket: Bucket) -> DataFrame:
-    """(row_id, key) of the admitted rows.
+def _in_stretches(placed: DataFrame, bucket: Bucket) -> DataFrame:
+    """(row_id, key, at, stretch, n_stretch) of the rows that may pass.
 
     * Of rows with one key and time at most a burst can pass: the others go before the shuffle.
     * A series falls apart wherever it pauses long enough for the bucket to fill. Such stretches do not depend on each
       other, so they, not keys, are the unit of work. They are found on the distinct (key, cell) pairs: two busy cells
       with an idle one between them are at least one idle time apart.
-    * A stretch that a full bucket pays for is admitted as it is. Only the rest is streamed, in time order, through a
-      walk that keeps two numbers.
     """
     rank = F.row_number().over(Window.partitionBy("key", "at").orderBy("row_id"))
     candidates = placed.withColumn("rank", rank).where(F.col("rank") <= bucket.burst).drop("rank", "ts")
@@ -109,7 +107,16 @@ def _admitted(placed: DataFrame, bucket: Bucket) -> DataFrame:
         .withColumn("n_stretch", F.sum("n").over(Window.partitionBy("key", "stretch")))
         .select("key", "cell", "stretch", "n_stretch")
     )
-    assigned = salted_join(candidates, stretches, ["key", "cell"], F.col("row_id"))
+    return salted_join(candidates, stretches, ["key", "cell"], F.col("row_id"))
+
+
+def _admitted(placed: DataFrame, bucket: Bucket) -> DataFrame:
+    """(row_id, key) of the admitted rows.
+
+    A stretch that a full bucket pays for is admitted as it is. Only the rest is streamed, in time order, through a
+    walk that keeps two numbers.
+    """
+    assigned = _in_stretches(placed, bucket)
     quiet = assigned.where(F.col("n_stretch") <= bucket.burst).select("row_id", "key")
     busy = assigned.where(F.col("n_stretch") > bucket.burst).select("row_id", "key", "stretch", "at")
     ordered = busy.repartition("key", "stretch").sortWithinPartitions("key", "stretch", "at", "row_id")
@@ -155,6 +162,62 @@ def rate_limit(
     )
 
 
+STATE_DDL = "key STRING, tokens BIGINT, last BIGINT"
+_WALKED_DDL = "row_id STRING, key STRING, stretch BIGINT, tokens BIGINT, last BIGINT"
+
+
+def _walk_from(bucket: Bucket):
+    """As `_walk_batches`, from the bucket that a row brings along; a row without id tells how a stretch leaves its bucket."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, tokens, last = None, 0, 0
+        left = lambda: pd.DataFrame(
+            {"row_id": [None], "key": [current[0]], "stretch": [current[1]], "tokens": [tokens], "last": [last]}
+        )
+        for batch in batches:
+            if batch.empty:
+                continue
+            at, keys, stretches = batch["at"].to_numpy(), batch["key"].to_numpy(), batch["stretch"].to_numpy()
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]) | (stretches[1:] != stretches[:-1])) + 1), len(batch)]
+            for lo, hi in zip(edges, edges[1:]):
+                if (keys[lo], stretches[lo]) != current:
+                    if current is not None:
+                        yield left()
+                    known = not pd.isna(batch["tokens"].iloc[lo])
+                    current = (keys[lo], stretches[lo])
+                    tokens, last = (int(batch["tokens"].iloc[lo]), int(batch["last"].iloc[lo])) if known else (bucket.full, int(at[lo]))
+                keep, tokens, last = walk(at[lo:hi], tokens, last, bucket)
+                passed = batch.iloc[lo:hi][keep]
+                yield pd.DataFrame({"row_id": passed["row_id"], "key": passed["key"], "stretch": passed["stretch"], "tokens": None, "last": None})
+        if current is not None:
+            yield left()
+
+    return run
+
+
+def rate_limit_from(keyed: DataFrame, bucket: Bucket, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The decisions of `rate_limit` for rows that follow on earlier ones, and the buckets they leave.
+
+    `keyed` is (row_id, rule_value, ts) with text ids; `state` is (key, tokens, last), the buckets so far; values without one begin with
+    a full bucket. Only a value's first stretch depends on its bucket, so stretches are walked apart from each other here, too.
+    """
+    placed = _placed(keyed, bucket, "row_id", "rule_value", "ts")
+    assigned = _in_stretches(placed, bucket)
+    first = placed.groupBy("key").agg(F.min("cell").alias("stretch")).join(state, "key")
+    rows = salted_join(assigned, first, ["key", "stretch"], F.col("row_id"), how="left")
+    rows = rows.select("row_id", "key", "stretch", "at", F.col("tokens").cast("double"), F.col("last").cast("double"))
+    # Doubles carry the missing values; both numbers are below 2 ** 53.
+    ordered = rows.repartition("key", "stretch").sortWithinPartitions("key", "stretch", "at", "row_id")
+    walked = cut_lineage(ordered.mapInPandas(_walk_from(bucket), _WALKED_DDL), "walked")
+    passed = walked.where("row_id IS NOT NULL").select("row_id", "key", F.lit(True).alias("admitted"))
+    decided = placed.join(passed, ["row_id", "key"], "left").select(
+        "row_id", F.col("key").alias("rule_value"), "ts", F.coalesce("admitted", F.lit(False)).alias("admitted")
+    )
+    left = walked.where("row_id IS NULL").groupBy("key").agg(F.max_by(F.struct("tokens", "last"), "stretch").alias("b"))
+    left = left.select("key", "b.*")
+    return decided, left.unionByName(state.join(left, "key", "left_anti").select("key", "tokens", "last"))
+
+
 def dropped_messages(decided: DataFrame, row_id: str = "row_id") -> DataFrame:
     """Ids of messages with at least one rule value, all of them over their limit."""
     return decided.groupBy(row_id).agg(F.bool_or("admitted").alias("any")).where("NOT any").select(row_id)

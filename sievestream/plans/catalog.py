@@ -807,21 +807,20 @@ def rate_limit_messages(spark, sf):
 
 @query
 def rate_limit_stream(spark, sf):
+    """As the batch limiter, over the micro-batches of a stream."""
     dense = D.dense_events(D.stream_table(spark, sf, "events"))
-    keyed = dense.select(
-        F.lpad(F.col("row_id").cast("string"), 20, "0").alias("row_id"),
-        "rule_value",
-        V.micros(F.col("ts")).alias("at"),
-        F.lit("").alias("output"),
-        F.lit(0).alias("lane"),
-    )
+    keyed = dense.select(F.lpad(F.col("row_id").cast("string"), 20, "0").alias("row_id"), F.col("rule_value").cast("string").alias("rule_value"), "ts")
     path = work_dir(spark, "rate-limit-stream")
-    decided = SL.rate_limit_stream(keyed, BUCKET, None).select(
-        F.col("row_id").cast("long").alias("row_id"), "rule_value", "admitted"
-    )
-    writer = decided.writeStream.format("parquet").option("path", f"{path}/out")
-    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(decided.schema).parquet(f"{path}/out")
+    store = SL.BucketStore(spark, f"{path}/buckets")
+
+    def on_batch(batch, batch_id):
+        decided = SL.limit_batch(batch, batch_id, BUCKET, store, None)
+        decided.select(F.col("row_id").cast("long").alias("row_id"), "rule_value", "admitted").write.mode("append").parquet(f"{path}/out")
+
+    writer = keyed.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    kind = D.dense_events(D.table(spark, sf, "events")).schema["rule_value"].dataType
+    return spark.read.parquet(f"{path}/out").withColumn("rule_value", F.col("rule_value").cast(kind))
 
 
 @query

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sievestream.operators.limiter import Bucket
-from sievestream.operators.rates import rule_increments
+from sievestream.operators.limiter import Bucket, admit
+from sievestream.operators.messages import limit_value
+from sievestream.operators.rates import limit_keys, rule_increments
 from sievestream.plans.enrich import enrich
 from sievestream.schemas import DEFAULT_META
 from sievestream.session import work_scope
-from sievestream.streaming.limiter import EXPIRATION_SECONDS, keyed_rows, rate_limit_stream, sendable, series
+from sievestream.streaming.limiter import EXPIRATION_SECONDS, BucketStore, limit_batch
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -27,63 +29,60 @@ def start_collector(
     bucket: Bucket | None = None,
     on_series: Sink | None = None,
     on_increments: Sink | None = None,
+    on_limits: Sink | None = None,
+    on_counts: Callable[[dict, int], None] | None = None,
     meta: str = DEFAULT_META,
     available_now: bool = False,
     form: str = "in_place",
+    expiration_seconds: float | None = EXPIRATION_SECONDS,
 ) -> StreamingQuery:
     """Starts the query; `sink` gets every micro-batch (with an `output` column) and its id.
 
-    Without a limiter the rules are read again at every micro-batch, so changes need no restart; with an empty rule
-    table messages pass as unmatched. With a limiter the rules are those of the query's start: on a new version stop
-    the query and start it again on the same checkpoint (`run_with_current_rules`); buckets survive that.
+    The rules are read again at every micro-batch, so changes need no restart; with an empty rule table messages pass as
+    unmatched. With a limiter only lines that may be sent reach the sink; its buckets lie below the checkpoint folder.
 
-    `on_increments` gets one (rule_id, ts) row per matched rule for the rule counters (without a limiter; never for
-    locations), `on_series` the (rule_value, ts, admitted) rows of the limiter.
+    Further outputs, all from one enrichment and all before the limiter drops anything: `on_increments` gets one (rule_id, ts) row
+    per matched rule (never for locations), `on_limits` the (ts, limit_value) rows of limit notices, `on_series` the (rule_value,
+    ts, admitted) rows of the limiter, `on_counts` the numbers of keep-alives, malformed lines and messages.
     """
-    if bucket is None:
-
-        def on_batch(batch: DataFrame, batch_id: int) -> None:
-            with work_scope(batch.sparkSession):
-                enriched = enrich(batch, read_rules(), collector_type, instance_id, meta=meta, form=form)
-                if on_increments is not None and collector_type != "locations":
-                    # Both outputs come from one enrichment.
-                    enriched.persist()
-                    on_increments(rule_increments(enriched, F.col("ingest_ts").alias("ts")), batch_id)
+    spark = lines.sparkSession
+    store = BucketStore(spark, f"{checkpoint.rstrip('/')}/limiter")
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        with work_scope(spark):
+            counts = Observation() if on_counts is not None else None
+            enriched = enrich(batch, read_rules(), collector_type, instance_id, meta=meta, observation=counts, form=form)
+            enriched.persist()
+            at = F.col("ingest_ts").alias("ts")
+            if on_increments is not None and collector_type != "locations":
+                on_increments(rule_increments(enriched, at), batch_id)
+            if on_limits is not None:
+                notices = enriched.where("message_class = 'limit'")
+                on_limits(notices.select(at, limit_value(collector_type).alias("limit_value")), batch_id)
+            if bucket is None:
                 sink(enriched, batch_id)
-                enriched.unpersist()
-
-        stream = lines
-    else:
-        if form != "in_place":
-            raise ValueError("with a limiter the rules travel with the query's plan: form='in_place'")
-        enriched = enrich(lines, read_rules(), collector_type, instance_id, meta=meta)
-        stream = rate_limit_stream(keyed_rows(enriched), bucket, None if available_now else EXPIRATION_SECONDS)
-
-        def on_batch(batch: DataFrame, batch_id: int) -> None:
-            if on_series is not None:
-                # Both outputs come from one run of the stateful step.
-                batch.persist()
-                on_series(series(batch), batch_id)
-            sink(sendable(batch), batch_id)
-            batch.unpersist()
-
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+            else:
+                decided = limit_batch(limit_keys(enriched, "row_id", at), batch_id, bucket, store, expiration_seconds)
+                if on_series is not None:
+                    on_series(decided.select("rule_value", "ts", "admitted"), batch_id)
+                sink(admit(enriched, decided), batch_id)
+            if counts is not None:
+                on_counts(dict(counts.get), batch_id)
+            enriched.unpersist()
+
+    writer = lines.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def run_with_current_rules(
-    start: Callable[[], StreamingQuery], rules_version: Callable[[], object], check_seconds: float = 10.0
-) -> None:
-    """Keeps a limited collector on the newest rules: a new version stops the query and starts it again."""
-    while True:
-        version, query = rules_version(), start()
-        while query.isActive and rules_version() == version:
-            query.awaitTermination(check_seconds)
-        if not query.isActive:
-            if query.exception():
-                raise query.exception()
-            return
-        query.stop()
+def wait_for_rules(read_rules: Callable[[], DataFrame], check_seconds: float = 10.0, tries: int | None = None) -> bool:
+    """Waits until there is a rule (before a collector is started); False after `tries` looks without one."""
+    looked = 0
+    while read_rules().isEmpty():
+        looked += 1
+        if tries is not None and looked >= tries:
+            return False
+        time.sleep(check_seconds)
+    return True
 
 
 def notices_for(notices: DataFrame, collector_type: str, instance_id: int, data: str = "data") -> DataFrame:

@@ -1,84 +1,53 @@
-"""The rate limiter on a stream: one bucket per rule value in the checkpointed state store."""
+"""The rate limiter on a stream: the batch limiter in every micro-batch, the buckets handed on from one to the next."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievestream.functions import values as V
-from sievestream.operators.limiter import Bucket, walk
-from sievestream.operators.rates import distinct_values
+from sievestream.operators.limiter import STATE_DDL, Bucket, rate_limit_from
+from sievestream.session import cut_lineage
 
-PASS_THROUGH_GROUPS = 256
 EXPIRATION_SECONDS = 60.0
 
-_DECISIONS = "row_id STRING, rule_value STRING, at BIGINT, admitted BOOLEAN, output STRING"
-
 
-def keyed_rows(enriched: DataFrame, ts: str = "ingest_ts") -> DataFrame:
-    """(row_id, rule_value, at, output, lane): one narrow row per rule value of a message, and one with its output line.
+class BucketStore:
+    """The buckets after each micro-batch, as small tables below a folder that all executors share.
 
-    The rows with the lines have no rule value. They are spread over lanes and pass the limiter chunk by chunk, so a
-    busy rule value gathers ids and times in its task, never messages.
+    A batch starts from the table of the batch before it and writes its own, so one that runs again after a failure decides the
+    same and overwrites what it had written. The tables of earlier batches are deleted.
     """
-    values = F.coalesce(distinct_values(F.col("collection_rules")), F.array().cast("array<string>"))
-    line = F.struct(F.lit(None).cast("string").alias("rule_value"), F.col("output").alias("output"))
-    keys = F.transform(values, lambda v: F.struct(v.alias("rule_value"), F.lit(None).cast("string").alias("output")))
-    rows = enriched.select(
-        "row_id", V.micros(F.col(ts)).alias("at"), F.explode(F.concat(F.array(line), keys)).alias("r")
-    ).select("row_id", "at", "r.*")
-    lane = F.pmod(F.xxhash64("row_id"), F.lit(PASS_THROUGH_GROUPS)).cast("int")
-    return rows.select(
-        "row_id", "rule_value", "at", "output", F.when(F.col("rule_value").isNull(), lane).otherwise(0).alias("lane")
-    )
-
-
-def rate_limit_stream(
-    keyed: DataFrame, bucket: Bucket, expiration_seconds: float | None = EXPIRATION_SECONDS
-) -> DataFrame:
-    """Adds `admitted`. Within a micro-batch the order is (at, row_id); across batches time must not run back.
 
-    A rule value without traffic for the expiration time loses its bucket and later starts with a full one. Waiting
-    for that keeps a query alive: one that is to end with its input has to run without expiration (None).
-    """
-    expires = expiration_seconds is not None
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if expires else GroupStateTimeout.NoTimeout
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
 
-    def decide(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if pd.isna(key[0]):
-            for chunk in chunks:
-                yield chunk.assign(admitted=True)[["row_id", "rule_value", "at", "admitted", "output"]]
-            return
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values(["at", "row_id"], ignore_index=True)
-        at = rows["at"].to_numpy()
-        tokens, last = state.get if state.exists else (bucket.full, int(at[0]))
-        admitted, tokens, last = walk(at, tokens, last, bucket)
-        state.update((tokens, last))
-        if expires:
-            state.setTimeoutDuration(int(expiration_seconds * 1000))
-        yield rows.assign(admitted=admitted)[["row_id", "rule_value", "at", "admitted", "output"]]
+    def _path(self, batch_id: int) -> str:
+        return f"{self.folder}/buckets-{batch_id}"
 
-    return keyed.groupBy("rule_value", "lane").applyInPandasWithState(
-        decide, _DECISIONS, "tokens BIGINT, last BIGINT", "append", timeout
-    )
+    def before(self, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return self.spark.createDataFrame([], STATE_DDL)
+        return self.spark.read.schema(STATE_DDL).parquet(self._path(batch_id - 1))
 
+    def write(self, state: DataFrame, batch_id: int) -> None:
+        state.write.mode("overwrite").parquet(self._path(batch_id))
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(batch_id - 2))
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
 
-def sendable(decisions: DataFrame) -> DataFrame:
-    """The output lines of a micro-batch that may be sent: any admitted rule value is enough, and so is having none."""
-    keyed = F.col("rule_value").isNotNull()
-    merged = decisions.groupBy("row_id").agg(
-        F.bool_or(F.when(keyed, F.col("admitted"))).alias("admitted"), F.max("output").alias("output")
-    )
-    return merged.where(F.coalesce("admitted", F.lit(True))).select("row_id", "output")
 
+def limit_batch(
+    keyed: DataFrame, batch_id: int, bucket: Bucket, store: BucketStore, expiration_seconds: float | None = EXPIRATION_SECONDS
+) -> DataFrame:
+    """(row_id, rule_value, ts, admitted) of a micro-batch of (row_id, rule_value, ts); ids and times only, never messages.
 
-def series(decisions: DataFrame) -> DataFrame:
-    """(rule_value, ts, admitted): the event series that rate reports are made from."""
-    keyed = decisions.where("rule_value IS NOT NULL")
-    return keyed.select("rule_value", F.timestamp_micros("at").alias("ts"), "admitted")
+    The order within a batch is (ts, row_id); across batches time must not run back. A rule value whose last admission lies
+    more than the expiration time before the batch's newest row loses its bucket and later starts with a full one.
+    """
+    decided, state = rate_limit_from(keyed, bucket, store.before(batch_id))
+    decided = cut_lineage(decided, "decided")
+    if expiration_seconds is not None:
+        newest = decided.agg(F.max(V.micros(F.col("ts"))).alias("at")).first()["at"]
+        if newest is not None:
+            state = state.where(F.col("last") >= newest - int(expiration_seconds * V.MICROS))
+    store.write(state, batch_id)
+    return decided

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sievestream.functions import values as V
 from sievestream.operators import limiter as L
 from sievestream.operators import rates as A
-from sievestream.streaming.limiter import rate_limit_stream, sendable, series
+from sievestream.streaming.limiter import BucketStore, limit_batch
 
 
 def timed(spark, rows, ddl="rule_value STRING"):
@@ -143,28 +143,33 @@ def test_expiry(spark):
 
 
 def test_limiter_on_a_stream(spark, tmp_path):
-    """Two batches in turn: the bucket goes on where the first one left it; a restart in between changes nothing."""
-    ddl = "row_id STRING, rule_value STRING, at BIGINT, output STRING, lane INT"
-    rows = [(f"{i:03d}", "air force", i * 10_000, None, 0) for i in range(100)]
-    rows += [(f"{i:03d}", None, i * 10_000, f"line {i}", i % 4) for i in range(100)]
-    rows += [(f"{i:03d}", "second", i * 10_000, None, 0) for i in range(0, 100, 20)] + [("x", None, 0, "free", 7)]
-
-    def run(part):
-        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = spark.readStream.schema(ddl).parquet(str(tmp_path / "in"))
-        decided = rate_limit_stream(stream, L.Bucket(), None)
-        writer = decided.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        writer.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
-
-    run([r for r in rows if r[2] < 400_000])
-    run([r for r in rows if r[2] >= 400_000])
-    out = spark.read.parquet(str(tmp_path / "out"))
+    """Two batches in turn: the bucket goes on where the first one left it; a batch that runs again decides the same."""
+    rows = [(f"{i:03d}", "air force", i * 10_000) for i in range(100)] + [(f"{i:03d}", "second", i * 10_000) for i in range(0, 100, 20)]
+    store = BucketStore(spark, str(tmp_path / "buckets"))
+
+    def run(part, batch_id):
+        keyed = spark.createDataFrame(part, "row_id STRING, rule_value STRING, at BIGINT").select("row_id", "rule_value", F.timestamp_micros("at").alias("ts"))
+        return {(r["row_id"], r["rule_value"]): r["admitted"] for r in limit_batch(keyed, batch_id, L.Bucket(), store, None).collect()}
+
+    first, second = [r for r in rows if r[2] < 400_000], [r for r in rows if r[2] >= 400_000]
+    got = run(first, 0)
+    again = run(second, 1)
+    assert run(second, 1) == again
+    got |= again
     expected = scalar_bucket([i * 10_000 for i in range(100)], 10, 10, 1)
-    got = [r["admitted"] for r in out.where("rule_value = 'air force'").orderBy("at").collect()]
-    assert got == expected and sum(got) == 19
-    sent = {r["output"] for r in sendable(out).collect()}
-    assert sent == {f"line {i}" for i in range(100) if expected[i] or i % 20 == 0} | {"free"}
-    assert series(out).count() == 105
+    assert [got[f"{i:03d}", "air force"] for i in range(100)] == expected and sum(expected) == 19
+    assert all(got[f"{i:03d}", "second"] for i in range(0, 100, 20)) and len(got) == 105
+    assert store.before(2).count() == 2
+    limit_batch(spark.createDataFrame([], "row_id STRING, rule_value STRING, ts TIMESTAMP"), 2, L.Bucket(), store)
+    assert store.before(3).count() == 2
+
+
+def test_idle_buckets_expire(spark, tmp_path):
+    store = BucketStore(spark, str(tmp_path / "buckets"))
+    for batch_id, (key, second) in enumerate([("a", 0), ("b", 50), ("b", 100)]):
+        keyed = spark.createDataFrame([("1", key, second)], "row_id STRING, rule_value STRING, s LONG").select("row_id", "rule_value", F.timestamp_seconds("s").alias("ts"))
+        limit_batch(keyed, batch_id, L.Bucket(), store, 60.0)
+    assert [r["key"] for r in store.before(3).collect()] == ["b"]
 
 
 def test_limited_collector_end_to_end(spark, make_rules, tmp_path):
@@ -179,7 +184,7 @@ def test_limited_collector_end_to_end(spark, make_rules, tmp_path):
     lines = [json.dumps(tweet(text="air force one")) for _ in range(40)] + [json.dumps({"warning": {"code": "x"}})] * 3
     (tmp_path / "in" / "a.json").write_text("\n".join(lines))
     rules = make_rules(rule(1, "air force", "keyword"))
-    sent, reported = [], []
+    sent, reported, counted, numbers = [], [], [], []
     start_collector(
         stream_lines(spark, str(tmp_path / "in")),
         lambda: rules,
@@ -189,8 +194,12 @@ def test_limited_collector_end_to_end(spark, make_rules, tmp_path):
         str(tmp_path / "ck"),
         bucket=L.Bucket(),
         on_series=lambda batch, i: reported.extend(batch.collect()),
+        on_increments=lambda batch, i: counted.extend(batch.collect()),
+        on_counts=lambda counts, i: numbers.append(counts),
         available_now=True,
     ).awaitTermination()
     # All lines of a file arrive at one time: the burst passes, and so does what no rule is about.
     assert len(sent) == 10 + 3 and len(reported) == 40
+    # Every match counts, also of messages that the limiter drops.
+    assert len(counted) == 40 and numbers == [{"keep_alives": 0, "malformed": 0, "messages": 43}]
     assert sum("warning" in s for s in sent) == 3
