@@ -137,10 +137,11 @@ def repeated_paragraphs(docs: DataFrame, text: str = "text", key: str = "doc_id"
     first = classes.groupBy("band").agg(F.min("digest").alias("b"), F.count("*").alias("n")).where("n > 1").select("band", "b")
     near = cut_lineage(classes.join(first, "band").where("digest <> b").select(F.col("digest").alias("a"), "b").distinct(), "paragraph-near")
     wanted = near.select(F.col("a").alias("digest")).union(near.select("b")).distinct()
-    one_place = places.join(wanted, "digest", "left_semi").groupBy("digest").agg(F.min_by(F.struct("row", "word"), F.struct("row", "word")).alias("at"))
+    # one place of each digest, picked before the join so that a frequent paragraph shrinks in the map tasks
+    one_place = places.groupBy("digest").agg(F.min(F.struct("row", "word")).alias("at")).join(wanted, "digest", "left_semi")
     per_text = one_place.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(F.struct(F.col("at.word").alias("word"), "digest")).alias("words"))
-    sets = long.dropDuplicates(["row"]).join(per_text, "row").select("text", "words").mapInPandas(_shingle_rows, "digest LONG, shingles ARRAY<LONG>")
-    sets = cut_lineage(sets, "paragraph-shingles")
+    sets = long.join(per_text, "row").select("text", "words").mapInPandas(_shingle_rows, "digest LONG, shingles ARRAY<LONG>")
+    sets = cut_lineage(sets, "paragraph-shingles").dropDuplicates(["digest"])  # rows that repeat
     a, b = (sets.select(F.col("digest").alias(n), F.col("shingles").alias(f"{n}_set")) for n in "ab")
     likeness = F.size(F.array_intersect("a_set", "b_set")) / F.size(F.array_union("a_set", "b_set"))
     links = near.join(a, "a").join(b, "b").where(likeness >= LIKENESS).select("a", "b")

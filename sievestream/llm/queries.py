@@ -71,4 +71,42 @@ QUERIES = {
     for f in (op1_toxicity, op2_shards, op3_mix, op4_token_counts, op5_packing, op6_simhash, op7_language_model, op8_fingerprints, op9_paragraphs, op10_near_vectors)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_mix": r"""
+        WITH sized AS (
+          SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+            md5('mix|' || coalesce(doc_id::VARCHAR, '')) AS digest
+          FROM documents),
+        sources AS (
+          SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i
+          FROM sized GROUP BY source),
+        weighed AS (SELECT *, CASE i % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w, source_size * 3.0::DOUBLE AS cap FROM sources),
+        levels AS (
+          SELECT cap / w AS stop, i, ((SELECT sum(source_size) FROM weighed)::DOUBLE
+              - coalesce(sum(cap) OVER (ORDER BY cap / w, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+          FROM weighed),
+        targets AS (
+          SELECT source, source_size, least(w * (SELECT level FROM levels WHERE level <= stop ORDER BY stop, i LIMIT 1), cap) AS target
+          FROM weighed),
+        placed AS (
+          SELECT doc_id, size, source_size, target, target / source_size AS share,
+            sum(size) OVER (PARTITION BY sized.source ORDER BY digest ROWS UNBOUNDED PRECEDING) - size AS before
+          FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+        SELECT doc_id, size, source_size, target,
+          (size * (floor(share) + CASE WHEN before + size / 2.0::DOUBLE < (share - floor(share)) * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM placed""",
+    "op10_near_vectors": """
+        WITH RECURSIVE good AS (
+          SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+          ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        named AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN named ON named.a = vec_id LEFT JOIN counted ON counted.a = vec_id""",
+}
