@@ -4,6 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# The error texts of rule validation.
+OUT_OF_RANGE = "Lat/lon out of range: "
+NOT_ENOUGH = "not enough values to unpack (expected {}, got "
+TOO_MANY = "too many values to unpack (expected {})"
+NOT_A_FLOAT = "could not convert string to float: '"
+RING_NOT_LIST = "Linear ring in coordinates is not a list"
+RING_EMPTY = "Linear ring in coordinates is empty"
+RING_SHORT = "Linear ring in coordinates is too short"
+TYPE_UNKNOWN = "GeoJSON type not supported: "
+NO_GEOMETRY = "Invalid GeoJSON object"
+GEOMETRY_UNKNOWN = "GeoJSON geometry type not supported: "
+NO_COORDINATES = "GeoJSON coordinates list is empty."
+
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _SPECIAL = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
 
@@ -74,7 +87,7 @@ def legacy_box_error(value: Column) -> Column:
     size = F.size(parts)
 
     def pair_error(lon: Column, lat: Column) -> Column:
-        out_of_range = F.concat(F.lit("Lat/lon out of range: "), lat, F.lit(", "), lon)
+        out_of_range = F.concat(F.lit(OUT_OF_RANGE), lat, F.lit(", "), lon)
         return (
             F.when(_not_float(lat), _float_error(lat))
             .when(~F.coalesce(to_number(lat).between(-90, 90), F.lit(False)), out_of_range)
@@ -86,8 +99,8 @@ def legacy_box_error(value: Column) -> Column:
     second = pair_error(F.get(parts, 2), F.get(parts, 3))
     stops = _not_float(F.get(parts, 1)) | (to_number(F.get(parts, 1)).between(-90, 90) & _not_float(F.get(parts, 0)))
     return (
-        F.when(size < 4, F.concat(F.lit("not enough values to unpack (expected 4, got "), size, F.lit(")")))
-        .when(size > 4, F.lit("too many values to unpack (expected 4)"))
+        F.when(size < 4, F.concat(F.lit(NOT_ENOUGH.format(4)), size, F.lit(")")))
+        .when(size > 4, F.lit(TOO_MANY.format(4)))
         .when(F.coalesce(stops, F.lit(False)), first)
         .otherwise(F.coalesce(second, first))
     )
@@ -98,7 +111,7 @@ def _not_float(text: Column) -> Column:
 
 
 def _float_error(text: Column) -> Column:
-    return F.concat(F.lit("could not convert string to float: '"), text, F.lit("'"))
+    return F.concat(F.lit(NOT_A_FLOAT), text, F.lit("'"))
 
 
 # Coordinates are read as text so that messages quote them as written.
@@ -123,11 +136,11 @@ def _position_error(position: Column) -> Column:
     size = F.size(position)
     lon, lat = F.get(position, 0), F.get(position, 1)
     return (
-        F.when(size > 2, F.lit("too many values to unpack (expected 2)"))
-        .when(size < 2, F.concat(F.lit("not enough values to unpack (expected 2, got "), size, F.lit(")")))
+        F.when(size > 2, F.lit(TOO_MANY.format(2)))
+        .when(size < 2, F.concat(F.lit(NOT_ENOUGH.format(2)), size, F.lit(")")))
         .when(
             ~in_range(lat.try_cast("double"), lon.try_cast("double")),
-            F.concat(F.lit("Lat/lon out of range: "), F.coalesce(lat, F.lit("None")), F.lit(", "), F.coalesce(lon, F.lit("None"))),
+            F.concat(F.lit(OUT_OF_RANGE), F.coalesce(lat, F.lit("None")), F.lit(", "), F.coalesce(lon, F.lit("None"))),
         )
     )
 
@@ -135,10 +148,10 @@ def _position_error(position: Column) -> Column:
 def _ring_error(ring: Column) -> Column:
     bad = F.filter(F.transform(without_repeats(ring), _position_error), lambda e: e.isNotNull())
     return (
-        F.when(ring.isNull(), F.lit("Linear ring in coordinates is not a list"))
-        .when(F.size(ring) == 0, F.lit("Linear ring in coordinates is empty"))
+        F.when(ring.isNull(), F.lit(RING_NOT_LIST))
+        .when(F.size(ring) == 0, F.lit(RING_EMPTY))
         .when(F.size(bad) > 0, F.get(bad, 0))
-        .when(F.size(closed(without_repeats(ring))) < 4, F.lit("Linear ring in coordinates is too short"))
+        .when(F.size(closed(without_repeats(ring))) < 4, F.lit(RING_SHORT))
     )
 
 
@@ -150,14 +163,14 @@ def geojson_error(feature: Column) -> Column:
     return (
         F.when(
             F.coalesce(F.lower(kind), F.lit("")) != "feature",
-            F.concat(F.lit("GeoJSON type not supported: "), F.coalesce(kind, F.lit("None"))),
+            F.concat(F.lit(TYPE_UNKNOWN), F.coalesce(kind, F.lit("None"))),
         )
-        .when(geometry.isNull(), F.lit("Invalid GeoJSON object"))
+        .when(geometry.isNull(), F.lit(NO_GEOMETRY))
         .when(
             F.coalesce(F.lower(geometry["type"]), F.lit("")) != "polygon",
-            F.concat(F.lit("GeoJSON geometry type not supported: "), kind),
+            F.concat(F.lit(GEOMETRY_UNKNOWN), kind),
         )
-        .when(rings.isNull() | (F.size(rings) == 0), F.lit("GeoJSON coordinates list is empty."))
+        .when(rings.isNull() | (F.size(rings) == 0), F.lit(NO_COORDINATES))
         .otherwise(F.get(ring_errors, 0))
     )
 

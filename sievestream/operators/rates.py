@@ -176,35 +176,22 @@ def limit_keys(tagged: DataFrame, *keep: str) -> DataFrame:
 # --- metrics -------------------------------------------------------------------------------------------------------
 
 
-def metric_names(prefix: str) -> dict[str, str]:
-    """Event name -> metric name. `prefix` is the name of the deployment."""
+def metric_names(prefix: str, more: dict[str, str] | None = None) -> dict[str, str]:
+    """Event name -> metric name, for the events this engine has. `prefix` is the name of the deployment;
+    `more` adds those of other parts of it."""
     return {
-        "heartbeat_message_sent_success": f"{prefix}.src.heartbeat.success.count",
-        "heartbeat_message_sent_failure": f"{prefix}.src.heartbeat.failure.count",
-        "restart_message_received": f"{prefix}.src.restart_message.success.count",
-        "kafka_error": f"{prefix}.src.kafka.error",
-        "redis_error": f"{prefix}.src.redis.error",
-        f"{prefix}_error_occurred": f"{prefix}.src.error.count",
-        "twitter_error_occurred": f"{prefix}.src.twitter.error.count",
         "tweet_process_success": f"{prefix}.src.tweet_process.success",
         "tweet_process_failure": f"{prefix}.src.tweet_process.failure",
         "tweet_to_kafka_success": f"{prefix}.src.tweet_to_kafka.success",
         "tweet_to_kafka_failure": f"{prefix}.src.tweet_to_kafka.failure",
         "limit_message_received": f"{prefix}.src.limit.messages.count",
         "limit_message_count": f"{prefix}.src.limit.current_limited",
-    }
+    } | (more or {})
 
 
-def log_metric_names(prefix: str) -> dict[str, str]:
-    """Log event -> metric name of the log-driven metrics."""
+def log_metric_names(more: dict[str, str] | None = None) -> dict[str, str]:
+    """Log event -> metric name of the log-driven metrics; `more` adds others."""
     return {
-        "heartbeat_message_sent_success": "src.heartbeat.success.count",
-        "Caught exception while adding the heartbeat message to Redis": "src.heartbeat.failure.count",
-        "restart_message_received": "src.restart_message.success.count",
-        "kafka_error": "src.kafka.error",
-        "redis_error": "src.redis.error",
-        f"{prefix}_error_occurred": "src.error.count",
-        "twitter_error_occurred": "src.twitter.error.count",
         "tweet_process_success": "src.tweet_process.success",
         "tweet_to_kafka_success": "src.tweet_to_kafka.success",
         "tweet_to_kafka_failure": "src.tweet_to_kafka.failure",
@@ -212,11 +199,7 @@ def log_metric_names(prefix: str) -> dict[str, str]:
         "limit_message_count": "src.limit.current_limited",
         "Stream keep-alive received": "src.twitter.keepalive",
         "Waiting for rules": "src.rules.waiting",
-        "Withholding heartbeat, not accepting rule assignments": "src.rules.not_accepting",
-        "API credentials are invalid": "src.auth.invalid",
-        "Exception caught in redis pub/sub listener, restarting listener": "src.redis.error",
-        "Exception caught closing redis pub/sub listener": "src.redis.error",
-    }
+    } | (more or {})
 
 
 def _metric(event: Column, names: dict[str, str]) -> Column:

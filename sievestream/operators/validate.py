@@ -12,6 +12,7 @@ from sievestream.operators.matching import check_form, few_rows, keyword_pairs,
 from sievestream.schemas import MAX_TRACK_LENGTH
 
 TOO_FAST_TO_MEASURE = 10000.0
+# Fixed value: the error text of a track phrase that is too long.
 TOO_LONG = "The byte length of the track phrase is over 60."
 
 

@@ -750,7 +750,8 @@ def metrics_counts(spark, sf):
     events = D.table(spark, sf, "events").select(
         "ts", F.element_at(named, F.col("event_type")).alias("event"), F.col("user_id").alias("instance_id")
     )
-    counted = A.counters(events, A.metric_names("collector"), "instance_id")
+    names = A.metric_names("collector", {"kafka_error": "collector.src.kafka.error"})
+    counted = A.counters(events, names, "instance_id")
     return counted.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
 
@@ -759,7 +760,7 @@ def log_metrics(spark, sf):
     """Metrics read from log events: keep-alives and limit notices of the event lines."""
     named = F.create_map(*[F.lit(x) for x in ("view", "Stream keep-alive received", "error", "limit_message_received")])
     events = D.table(spark, sf, "events").select("ts", F.element_at(named, F.col("event_type")).alias("event"))
-    counted = A.counters(events, A.log_metric_names("collector"), window="1 hour")
+    counted = A.counters(events, A.log_metric_names(), window="1 hour")
     return counted.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH"))
 
 

@@ -16,10 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents; a table of fewer files than cores is spread over all of them before the work on its texts."""
+    """The documents; a table of fewer splits than cores is spread over all of them before the work on its texts."""
     df = table(spark, sf_dir, "documents")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, "doc_id") if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, "doc_id") if df.rdd.getNumPartitions() < cores else df
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
