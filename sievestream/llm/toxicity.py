@@ -34,17 +34,20 @@ def features(text: Column) -> dict[str, Column]:
     count = lambda c, pattern: F.regexp_count(c, F.lit(pattern)).cast("double")
     words, chars = F.greatest(count(whole, WORD), F.lit(1.0)), F.greatest(F.length(whole), F.lit(1)).cast("double")
     without = lambda letters: F.length(whole) - F.length(F.translate(whole, letters, ""))
-    out = {name: 100 * count(lower, rf"\b(?:{'|'.join(listed)})(?:s|es)?\b") / words for name, listed in LISTS.items()}
-    strong = "|".join(INSULTS + CONTEMPT + PROFANITY)
-    # letters written as digits or signs, or parted by signs
+    hits = {name: count(lower, rf"\b(?:{'|'.join(listed)})(?:s|es)?\b") for name, listed in LISTS.items()}
+    out = {name: 100 * n / words for name, n in hits.items()}
+    strong, found = "|".join(INSULTS + CONTEMPT + PROFANITY), hits["insults"] + hits["contempt"] + hits["profanity"]
+    # letters written as digits or signs, or parted by signs; only texts that have such words are looked through again
     plain = F.regexp_replace(F.translate(lower, "013457@$", "oieastas"), r"(?<=[a-z])[.*_\-](?=[a-z])", "")
-    hidden = F.greatest(count(plain, rf"\b(?:{strong})(?:s|es)?\b") - count(lower, rf"\b(?:{strong})(?:s|es)?\b"), F.lit(0.0))
-    out["hidden"] = 100 * hidden / words
-    out["strong"] = 100 * count(lower, rf"\b(?:{strong})(?:s|es)?\b") / words
-    out["hits"] = F.least(F.lit(10.0), count(lower, rf"\b(?:{strong})(?:s|es)?\b"))  # a few words in a long text
-    out["you"] = 100 * count(lower, rf"\b(?:{YOU})\b") / words
+    hidden = F.greatest(count(plain, rf"\b(?:{strong})(?:s|es)?\b") - found, F.lit(0.0))
+    out["hidden"] = F.when(lower.rlike(r"[a-z][0-9@$.*_\-][a-z]"), 100 * hidden / words).otherwise(0.0)
+    out["strong"] = 100 * found / words
+    out["hits"] = F.least(F.lit(10.0), found)  # a few words in a long text
+    you = count(lower, rf"\b(?:{YOU})\b")
+    out["you"] = 100 * you / words
     gap = r"\W+(?:\w+\W+){0,3}"
-    out["you_near"] = 100 * count(lower, rf"\b(?:{YOU})\b{gap}(?:{strong})\b|\b(?:{strong})\b{gap}(?:{YOU})\b") / words
+    near = count(lower, rf"\b(?:{YOU})\b{gap}(?:{strong})\b|\b(?:{strong})\b{gap}(?:{YOU})\b")
+    out["you_near"] = F.when((found > 0) & (you > 0), 100 * near / words).otherwise(0.0)
     out["capitals"] = without("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / chars
     out["shouted"] = 100 * count(whole, r"\b[A-Z]{2,}\b") / words
     out["exclamation"] = without("!") / chars
