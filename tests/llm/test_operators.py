@@ -356,3 +356,38 @@ def test_toxicity(spark, odd, none):
     assert toxicity.score(odd, labels.limit(0)).where("score <> 0").count() == 0
     assert toxicity.score(odd, labels.where("toxic = 1")).count() == odd.count()
     assert toxicity.score(none, labels).count() == 0
+
+
+# Findings of round 2
+def test_near_paragraphs_are_found(spark):
+    rng = np.random.default_rng(21)
+    fresh = lambda n: [f"w{x}" for x in rng.integers(0, 50_000, n)]
+    rows = []
+    likeness = lambda x, y: len(x & y) / len(x | y)
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    wanted = {}
+    for i in range(300):
+        base = fresh(int(rng.integers(50, 100)))
+        other = list(base)
+        for at in rng.choice(len(base), int(rng.integers(1, 4)), replace=False):
+            other[at] = f"new{at}"
+        for half, line in enumerate((base, other)):
+            rows.append((2 * i + half, "\n".join(" ".join(x) for x in (fresh(20), line, fresh(int(rng.integers(5, 30)))))))
+        wanted[2 * i + 1] = likeness(shingles(base), shingles(other)) >= 0.8
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    removed = {r["doc_id"] for r in paragraphs.repeated_paragraphs(docs).where("removed AND words >= 50").collect() if r["kept_id"] == r["doc_id"] - 1}
+    want = {d for d, w in wanted.items() if w}
+    assert len(want) > 100 and len(removed & want) >= 0.95 * len(want)
+    # a line is found as far as its likeness goes; cut pieces of a line that differs more can be alike
+    assert all(wanted[d] or len(rows[d][1].split("\n")[1].split()) > 2 * paragraphs.SPAN - 1 for d in removed)
+
+
+def test_edits_move_few_cuts_of_a_long_line(spark):
+    rng = np.random.default_rng(22)
+    base = [f"w{x}" for x in rng.integers(0, 50_000, 2000)]
+    other = list(base)
+    for at in range(100, 2000, 200):
+        other[at] = "new"
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, "some words before " + " ".join(other))], "doc_id LONG, text STRING")
+    left = dict(texts(paragraphs.without_repeats(docs)))
+    assert left[1] == " ".join(base) and len(left[2].split()) <= 400
