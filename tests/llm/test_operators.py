@@ -391,3 +391,24 @@ def test_edits_move_few_cuts_of_a_long_line(spark):
     docs = spark.createDataFrame([(1, " ".join(base)), (2, "some words before " + " ".join(other))], "doc_id LONG, text STRING")
     left = dict(texts(paragraphs.without_repeats(docs)))
     assert left[1] == " ".join(base) and len(left[2].split()) <= 400
+
+
+def test_every_member_of_a_bucket_is_compared(spark, monkeypatch):
+    monkeypatch.setattr(paragraphs, "BLOCK", 4)
+    monkeypatch.setattr(paragraphs, "_banded", lambda hashes, first, n, f=paragraphs._banded: (f(hashes, first, n)[0], [np.full(len(first), b, np.uint64) for b in range(paragraphs.BANDS)]))
+    rng = np.random.default_rng(23)
+    rows, pairs = [], []
+    for i in range(30):  # all in one bucket, most of them unlike
+        words = [f"w{x}" for x in rng.integers(0, 50_000, 60)]
+        rows.append((i, " ".join(words)))
+        if i % 2:
+            rows.append((100 + i, " ".join([*words[:-1], "new"])))
+            pairs.append((i, 100 + i))
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    # without the anchors' passages: whole lines, and in one process since the bands are replaced in it
+    long = [(i, t.lower()) for i, t in rows]
+    pdf = next(paragraphs._paragraph_rows(iter([paragraphs.pd.DataFrame(long, columns=["row", "text"])])))
+    lines = spark.createDataFrame(pdf[pdf["is_line"]].drop(columns="is_line"))
+    near = {tuple(sorted(r)) for r in paragraphs._near(lines, docs.selectExpr("doc_id AS row", "text")).collect()}
+    digest = dict(zip(lines.toPandas()["row"], lines.toPandas()["digest"]))
+    assert near == {tuple(sorted((digest[a], digest[b]))) for a, b in pairs}
