@@ -37,10 +37,10 @@ def features(text: Column) -> dict[str, Column]:
     hits = {name: count(lower, rf"\b(?:{'|'.join(listed)})(?:s|es)?\b") for name, listed in LISTS.items()}
     out = {name: 100 * n / words for name, n in hits.items()}
     strong, found = "|".join(INSULTS + CONTEMPT + PROFANITY), hits["insults"] + hits["contempt"] + hits["profanity"]
-    # letters written as digits or signs, or parted by signs; only texts that have such words are looked through again
+    # letters written as digits or signs, or parted by signs; only texts that this changes are looked through again
     plain = F.regexp_replace(F.translate(lower, "013457@$", "oieastas"), r"(?<=[a-z])[.*_\-](?=[a-z])", "")
     hidden = F.greatest(count(plain, rf"\b(?:{strong})(?:s|es)?\b") - found, F.lit(0.0))
-    out["hidden"] = F.when(lower.rlike(r"[a-z][0-9@$.*_\-][a-z]"), 100 * hidden / words).otherwise(0.0)
+    out["hidden"] = F.when(lower.rlike(r"[013457@$]|[a-z][.*_\-][a-z]"), 100 * hidden / words).otherwise(0.0)
     out["strong"] = 100 * found / words
     out["hits"] = F.least(F.lit(10.0), found)  # a few words in a long text
     you = count(lower, rf"\b(?:{YOU})\b")
