@@ -23,6 +23,11 @@ def ascii_lower(text: F.Column) -> F.Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def text_mark(text: str) -> F.Column:
+    """Digest that tells rows of one key apart, as `_mark`; a null text is not an empty one."""
+    return F.xxhash64(F.col(text).isNull(), F.col(text)).alias("_mark")
+
+
 def crc_mod(doc_id: F.Column, n: int) -> F.Column:
     """crc32 of the id as text, modulo `n`; a null id counts as the empty text."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n).cast("int")
@@ -91,4 +96,4 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     )
 
 
-__all__ = ["WORD", "ascii_lower", "components", "crc_mod", "cut_lineage", "in_order", "table", "work_dir"]
+__all__ = ["WORD", "ascii_lower", "components", "crc_mod", "cut_lineage", "in_order", "table", "text_mark", "work_dir"]

@@ -8,9 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from sievestream.llm.common import WORD, ascii_lower, components, cut_lineage
+from sievestream.llm.common import WORD, ascii_lower, components, cut_lineage, text_mark
 
 _WORDS = re.compile(WORD.encode())
 _BITS = np.arange(64, dtype=np.uint64)
@@ -35,15 +35,15 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(((set_bits * 2 > n).astype(np.uint64) << _BITS).sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, shingle: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, fp) of every row: the fingerprint as a signed long. A null text has no words."""
+def fingerprints(docs: DataFrame, shingle: int, text: str = "text", key: str = "doc_id", *more: F.Column) -> DataFrame:
+    """(key, fp) of every row, and `more` columns: the fingerprint as a signed long. A null text has no words."""
 
     @F.pandas_udf("long")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series(np.array([fingerprint(t or b"", shingle) for t in batch], np.uint64).view(np.int64))
 
-    return docs.select(F.col(key), of(ascii_lower(F.col(text)).cast("binary")).alias("fp"))
+    return docs.select(F.col(key), of(ascii_lower(F.col(text)).cast("binary")).alias("fp"), *more)
 
 
 def _masked() -> F.Column:
@@ -95,11 +95,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, text: str = "text", key:
 
 
 def representatives(docs: DataFrame, shingle: int = 5, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of `docs` for each component: the one with its smallest key (of rows that share this key, one of the lowest text)."""
-    found = near_duplicates(docs, shingle, text, key)
-    dropped = found.where(F.col(key).isNotNull() & (F.col(key) != F.col("component_id"))).select(F.col(key).alias("_key")).distinct()
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.struct(*docs.columns).alias("_doc")).join(dropped, "_key", "left_anti")
-    twice = cut_lineage(rows.where("_key IS NOT NULL").groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key"), "simhash-repeated")
-    first = Window.partitionBy("_key").orderBy("_text")
-    repeated = rows.join(twice, "_key", "left_semi").withColumn("_rank", F.row_number().over(first)).where("_rank = 1")
-    return rows.join(twice, "_key", "left_anti").select("_doc.*").union(repeated.select("_doc.*"))
+    """One row of `docs` for each component: the one of its smallest key, of those the smallest text digest.
+
+    Rows are told apart by key and text: rows of one key with different texts each belong to the component of their text. Null keys
+    come last. Of rows equal in both any one stays.
+    """
+    rows = cut_lineage(fingerprints(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), shingle, "_text", "_key", text_mark("_text")), "simhash-rows")
+    groups = components(links(rows.select("fp").distinct()), "simhash-components")
+    members = rows.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("_key", "_mark", F.coalesce("component", "fp").alias("group"))
+    return first_of_groups(docs, members, text, key)
+
+
+def first_of_groups(docs: DataFrame, members: DataFrame, text: str, key: str) -> DataFrame:
+    """The row of `docs` of the smallest key and text digest of each `group`; `members` has `_key`, `_mark` and `group` of each row."""
+    once = members.groupBy("_key", "_mark").agg(F.min("group").alias("group"), F.count("*").alias("n"))
+    kept = once.groupBy("group").agg(F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "_mark", "n")).alias("first"))
+    kept = cut_lineage(kept.select(F.col("first._key").alias("kept_key"), F.col("first._mark").alias("kept_mark"), F.col("first.n").alias("n")), "simhash-kept")
+    rows = docs.select(F.col(key).alias("_key"), text_mark(text), F.struct(*docs.columns).alias("_doc"))
+    found = rows.join(kept, F.col("_key").eqNullSafe(F.col("kept_key")) & (F.col("_mark") == F.col("kept_mark")))
+    repeated = found.where("n > 1").dropDuplicates(["_key", "_mark"])
+    return found.where("n = 1").select("_doc.*").union(repeated.select("_doc.*"))

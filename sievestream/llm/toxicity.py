@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sievestream.llm.common import WORD, crc_mod, cut_lineage
+from sievestream.llm.common import WORD, crc_mod, cut_lineage, text_mark
 
 #: Words that insult, by kind; the lists only make features, the labels decide what they weigh.
 INSULTS = "airhead bozo buffoon clown coward creep cretin dimwit dolt dope dork dullard dumb dunce fool freak halfwit idiot ignoramus imbecile jerk liar loser lunatic moron nitwit numbskull oaf pig psycho rat scumbag simpleton slob snake stupid thug twit weasel wimp".split()
@@ -58,8 +58,8 @@ def features(text: Column) -> dict[str, Column]:
     return {name: F.coalesce(c.cast("double"), F.lit(0.0)) for name, c in out.items()}
 
 
-def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS) -> DataFrame:
-    """Scores every text: key, `held_out`, `score` (0 to 1), `predicted` (1 from THRESHOLD on).
+def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, text: str = "text", key: str = "doc_id", label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Scores every text: key, `held_out`, `score` (0 to 1), `predicted` (1 from THRESHOLD on), and the columns to `carry`.
 
     Labels are learned only from keys whose crc32 (as text) modulo `folds` is not `held_out`. At most `max_rows` of them, the first by digest
     of the key, fit the model: boosted trees on most, an isotonic regression of the label on the trees' score on the rest.
@@ -70,8 +70,8 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
     score too. Repeated rows give repeated rows; an empty table none.
     """
     columns = features(F.col(text))
-    rows = cut_lineage(docs.select(F.col(key).alias("key"), *(c.alias(n) for n, c in columns.items())), "toxicity-features")
-    rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(rows).select("key", "features")
+    rows = cut_lineage(docs.select(F.col(key).alias("key"), *carry, *(c.alias(n) for n, c in columns.items())), "toxicity-features")
+    rows = VectorAssembler(inputCols=list(columns), outputCol="features").transform(rows).select("key", *carry, "features")
     learned = labels.where(F.col(key).isNotNull() & (crc_mod(F.col(key), folds) != held_out))
     learned = learned.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("double").alias("label")).where("label IS NOT NULL")
     sample = rows.join(learned, "key").withColumn("digest", F.xxhash64("key")).orderBy("digest").limit(max_rows)
@@ -91,15 +91,18 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2,
         if both(*shares.get(True, (0, 0.0))):
             calibration = model.transform(sample.where("calibrates")).withColumn("raw", probability)
             isotonic = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="calibrated").fit(calibration.select("raw", "label"))
-            scored = isotonic.transform(scored.select("key", "raw")).withColumnRenamed("calibrated", "score")
+            scored = isotonic.transform(scored.select("key", *carry, "raw")).withColumnRenamed("calibrated", "score")
         else:
             scored = scored.withColumn("score", F.col("raw"))
     score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), "score"))
     held = crc_mod(F.col("key"), folds) == held_out
-    return scored.select(F.col("key").alias(key), held.alias("held_out"), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select(F.col("key").alias(key), held.alias("held_out"), score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"), *carry)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of `docs` whose key is not predicted toxic; rows with a null key stay."""
-    toxic = score(docs, labels, text=text, key=key).where("predicted = 1").select(key).distinct()
-    return docs.join(toxic, key, "left_anti").select(*docs.columns)
+    """The rows of `docs` that are not predicted toxic, each by its own text, whatever its key."""
+    marked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), text_mark(text))
+    toxic = score(marked, labels.select(F.col(key).alias("_key"), "toxic"), text="_text", key="_key", carry=("_mark",)).where("predicted = 1")
+    toxic = toxic.select(F.col("_key").alias("toxic_key"), F.col("_mark").alias("toxic_mark")).distinct()
+    rows = docs.select(F.col(key).alias("_key"), text_mark(text), F.struct(*docs.columns).alias("_doc"))
+    return rows.join(toxic, F.col("_key").eqNullSafe(F.col("toxic_key")) & (F.col("_mark") == F.col("toxic_mark")), "left_anti").select("_doc.*")

@@ -420,3 +420,17 @@ def test_disguised_insults_at_any_place(spark):
     feature = toxicity.features(toxicity.F.col("text"))["hidden"]
     got = {r["id"]: r["hidden"] for r in spark.createDataFrame(rows, "id INT, text STRING").select("id", feature.alias("hidden")).collect()}
     assert [i for i, t in rows if got[i] > 0] == [i for i, t in rows if t in disguised and t != "cree7"]
+
+
+def test_stages_decide_by_row(spark, monkeypatch):
+    rng = np.random.default_rng(31)
+    a, b, c, d = (" ".join(f"w{x}" for x in rng.integers(0, 5000, 40)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (2, b), (3, c), (3, d), (None, d), (None, "alone in its key"), (None, "alone in its key"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    got = sorted(map(tuple, simhash.representatives(docs).collect()), key=str)
+    assert got == sorted([(1, a), (2, b), (3, c), (3, d), (None, "alone in its key"), (4, None)], key=str)
+    monkeypatch.setattr(toxicity, "score", lambda docs, labels, text, key, carry: docs.select(key, *carry, toxicity.F.col(text).contains("alone").cast("int").alias("predicted")))
+    spoiled = spark.createDataFrame([*rows, (2, "alone too")], docs.schema)
+    left = toxicity.without_toxic(spoiled, spark.createDataFrame([], "doc_id LONG, toxic INT"))
+    # a text without words is no toxic one either
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([r for r in rows if "alone" not in (r[1] or "")], key=str)
