@@ -26,8 +26,9 @@ BANDS = 6
 PER_BAND = 3
 LIKENESS = 0.8
 ROWS = 512
-#: Buckets above this many different paragraphs are compared block against block.
+#: Buckets above this many different paragraphs or words are compared block against block.
 BLOCK = 4096
+BLOCK_WORDS = 2_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _HIGHEST = np.uint64(2**64 - 1)
 
@@ -107,7 +108,7 @@ def _banded(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.nd
     place = np.arange(len(hashes)) - np.repeat(first, n)
     powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(int(n.max()), _BASE))))
     digest = _mix(np.add.reduceat(hashes * powers[place], first) + n.astype(np.uint64), 3)
-    shingles = np.concatenate((_runs(hashes, SHINGLE), np.zeros(SHINGLE - 1, np.uint64)))
+    shingles = _runs(np.concatenate((hashes, np.zeros(SHINGLE - 1, np.uint64))), SHINGLE)
     beyond = place + SHINGLE > np.repeat(n, n)
     bands = []
     for band in range(BANDS):
@@ -198,9 +199,11 @@ def _link_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _near(lines: DataFrame, long: DataFrame) -> DataFrame:
     """Links (a, b) of the digests of lines that meet in a band and have the likeness; `lines` has one place of each digest."""
-    bands = lines.select("digest", F.explode(F.array(*(f"band{b}" for b in range(BANDS)))).alias("band"))
-    several = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    buckets = cut_lineage(bands.join(several, "band").select("band", "digest", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "paragraph-buckets")
+    bands = lines.select("digest", "words", F.explode(F.array(*(f"band{b}" for b in range(BANDS)))).alias("band"))
+    members = [F.count("*").alias("n"), F.bit_xor("digest").alias("x"), F.bit_xor(F.xxhash64("digest")).alias("y"), F.sum("words").alias("words")]
+    several = bands.groupBy("band").agg(*members).where("n > 1").groupBy("n", "x", "y", "words").agg(F.min("band").alias("band"))  # of buckets with the same members, one
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("words") / BLOCK_WORDS)).cast("int").alias("blocks")
+    buckets = cut_lineage(bands.select("digest", "band").join(several.select("band", blocks), "band").select("band", "digest", "blocks"), "paragraph-buckets")
     wanted = lines.select("digest", "row", "word", "words").join(buckets.select("digest").distinct(), "digest", "left_semi")
     per_text = wanted.groupBy("row").agg(F.collect_list(F.struct("word", "words", "digest")).alias("lines"))
     sets = long.join(per_text, "row").select("text", "lines").mapInPandas(_shingle_rows, "digest LONG, shingles BINARY")

@@ -434,3 +434,22 @@ def test_stages_decide_by_row(spark, monkeypatch):
     left = toxicity.without_toxic(spoiled, spark.createDataFrame([], "doc_id LONG, toxic INT"))
     # a text without words is no toxic one either
     assert sorted(map(tuple, left.collect()), key=str) == sorted([r for r in rows if "alone" not in (r[1] or "")], key=str)
+
+
+def test_near_copies_leave_the_corpus(spark):
+    rng = np.random.default_rng(41)
+    rows, alike = [], 0
+    for i in range(200):
+        n, edits = [(100, 1), (100, 2), (300, 3), (300, 6)][i % 4]
+        base = [f"w{x}" for x in rng.integers(0, 50_000, n)]
+        other = list(base)
+        for at in rng.choice(n, edits, replace=False):
+            other[at] = "new"
+        x, y = ({tuple(w[k : k + 5]) for k in range(n - 4)} for w in (base, other))
+        alike += len(x & y) / len(x | y) >= 0.8
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    rows += [(1000, "a few words"), (1001, "A few  words"), (1002, "a few more"), (1003, None), (1004, "")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    left = {r["doc_id"] for r in simhash.alike_representatives(docs).collect()}
+    assert {2 * i for i in range(200)} | {1000, 1002, 1003} <= left and not left & {1001, 1004}
+    assert 0.95 * alike <= len(rows) - 2 - len(left) <= alike
