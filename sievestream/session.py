@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
@@ -25,7 +28,7 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
-_MADE: list[str] = []
+_SCOPE: ContextVar[list[str] | None] = ContextVar("sievestream-work", default=None)
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
@@ -37,23 +40,32 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         if context.applicationId not in _LOCAL_ROOTS:
             _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="sievestream-")
+            atexit.register(shutil.rmtree, _LOCAL_ROOTS[context.applicationId], ignore_errors=True)
         root = _LOCAL_ROOTS[context.applicationId]
     path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    _MADE.append(path)
+    made = _SCOPE.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
 @contextmanager
 def work_scope(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end the folders that were made inside; results have to be written by then."""
-    before = len(_MADE)
+    """Deletes at its end the folders that its own thread made inside; results have to be written by then."""
+    made: list[str] = []
+    token = _SCOPE.set(made)
     try:
         yield
     finally:
-        for path in _MADE[before:]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        del _MADE[before:]
+        _SCOPE.reset(token)
+        for path in made:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of any file system that Spark reaches; a missing one is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:

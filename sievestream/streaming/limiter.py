@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievestream.functions import values as V
 from sievestream.operators.limiter import STATE_DDL, Bucket, rate_limit_from
-from sievestream.session import cut_lineage
+from sievestream.session import cut_lineage, delete_folder
 
 EXPIRATION_SECONDS = 60.0
 
@@ -31,8 +31,7 @@ class BucketStore:
 
     def write(self, state: DataFrame, batch_id: int) -> None:
         state.write.mode("overwrite").parquet(self._path(batch_id))
-        old = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(batch_id - 2))
-        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        delete_folder(self.spark, self._path(batch_id - 2))
 
 
 def limit_batch(

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import rule, tweet
+from tests.samples import rule, tweet
 from pyspark.sql import functions as F
 
 from sievestream.plans.enrich import enrich

@@ -1,4 +1,7 @@
 import os
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -15,6 +18,20 @@ def test_every_query_has_its_sql():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("also", [[], ["corpus_pipeline.py"]])
+def test_entry_without_the_optional_subpackage(tmp_path, also):
+    """The rest imports and keeps its queries when the training-data operators (and their pipeline) are deleted."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=lambda folder, names: [n for n in names if n in (".git", "__pycache__", "llm", *also)])
+    code = "import __spark_entry__ as e; print(*sorted(e.queries())); e.oracle_sql()"
+    done = subprocess.run([sys.executable, "-c", code], cwd=copy, capture_output=True, text=True, timeout=120)
+    from sievestream.plans.catalog import QUERIES
+
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.split() == sorted(QUERIES)
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables not here")
 def test_flagship(spark):
     df = entry.entry(spark)

@@ -175,7 +175,7 @@ def test_idle_buckets_expire(spark, tmp_path):
 def test_limited_collector_end_to_end(spark, make_rules, tmp_path):
     import json
 
-    from conftest import rule, tweet
+    from tests.samples import rule, tweet
 
     from sievestream.sources.messages import stream_lines
     from sievestream.streaming.collector import start_collector

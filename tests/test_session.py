@@ -1,8 +1,9 @@
+import threading
 from types import SimpleNamespace
 
 import pytest
 
-from sievestream.session import rows_within, work_dir
+from sievestream.session import cut_lineage, rows_within, work_dir, work_scope
 
 
 def session_without_setting(master):
@@ -27,3 +28,33 @@ def test_bounded_read(spark):
     assert len(rows_within(spark.range(3), 24)) == 3
     assert rows_within(spark.range(4), 24) is None
     assert rows_within(spark.range(0), 24) == []
+
+
+def test_scopes_of_other_threads_keep_their_tables(spark):
+    """One scope opens and closes while another one is still reading what it wrote."""
+    opened, closed, counted = threading.Event(), threading.Event(), []
+
+    def other():
+        with work_scope(spark):
+            frame = cut_lineage(spark.range(7), "other")
+            opened.set()
+            assert closed.wait(60)
+            counted.append(frame.count())
+
+    thread = threading.Thread(target=other)
+    with work_scope(spark):
+        cut_lineage(spark.range(3), "own")
+        thread.start()
+        assert opened.wait(60)
+    closed.set()
+    thread.join()
+    assert counted == [7]
+
+
+def test_inner_scopes_leave_the_outer_ones_tables(spark):
+    with work_scope(spark):
+        outer = cut_lineage(spark.range(4), "outer")
+        with work_scope(spark):
+            inner = cut_lineage(spark.range(5), "inner")
+            assert inner.count() == 5
+        assert outer.count() == 4
