@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sievestream.llm import embeddings, language_model, mixing, packing, paragraphs, sharding, simhash, sketches, token_counts, toxicity
+from sievestream.llm import bpe, embeddings, hard_negatives, language_model, mixing, packing, paragraphs, phrases, sharding, simhash, sketches, token_counts, toxicity
 from sievestream.llm.common import table, work_dir
 
 SHARDS = 8
@@ -66,9 +66,30 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.decode(bpe.encode(_documents(spark, sf_dir), path), path)
+    digest = lambda text: F.sha2(text.cast("binary"), 256)
+    ids = digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_shards, op3_mix, op4_token_counts, op5_packing, op6_simhash, op7_language_model, op8_fingerprints, op9_paragraphs, op10_near_vectors)
+    for f in (
+        op1_toxicity, op2_shards, op3_mix, op4_token_counts, op5_packing, op6_simhash, op7_language_model, op8_fingerprints, op9_paragraphs, op10_near_vectors,
+        op11_collocations, op12_bpe, op13_hard_negatives,
+    )
 }
 
 ORACLE: dict[str, str] = {
@@ -109,4 +130,45 @@ ORACLE: dict[str, str] = {
         counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
         SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM embeddings JOIN named ON named.a = vec_id LEFT JOIN counted ON counted.a = vec_id""",
+    "op11_collocations": r"""
+        WITH pieces AS (
+          SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+          FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)),
+        places AS (
+          SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+        counted AS (
+          SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, any_value(w[i : i + k - 1]) AS w, count(*) AS f FROM places GROUP BY ALL HAVING f >= 100),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+        swallowed AS (
+          SELECT lang, phrase, max(f) AS longer FROM (
+            SELECT lang, f, array_to_string(w[1 : k - 1], ' ') AS phrase FROM counted WHERE k > 2
+            UNION ALL SELECT lang, f, array_to_string(w[2 : k], ' ') FROM counted WHERE k > 2)
+          GROUP BY ALL),
+        cuts AS (
+          SELECT lang, phrase, f AS a, j, array_to_string(w[1 : j], ' ') AS head, array_to_string(w[j + 1 : k], ' ') AS rest
+          FROM (SELECT *, unnest(range(1, k)) AS j FROM counted WHERE k > 1)),
+        scored AS (
+          SELECT c.lang, c.phrase, c.a, j, h.f AS l, r.f AS r, n, ((1000::HUGEINT * c.a * n) // (h.f::HUGEINT * r.f))::BIGINT AS score
+          FROM cuts c JOIN counted h ON h.lang = c.lang AND h.phrase = c.head JOIN counted r ON r.lang = c.lang AND r.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+        SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank, b.phrase, a, l, r, n, score
+        FROM best b LEFT JOIN swallowed s ON s.lang = b.lang AND s.phrase = b.phrase
+        WHERE longer IS NULL OR longer < a
+        QUALIFY rank <= 2000""",
+    "op13_hard_negatives": """
+        WITH rows AS (
+          SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+        scored AS (
+          SELECT a.id AS anchor_id, b.id, a.label = b.label AS alike, list_inner_product(a.v, b.v)::BIGINT AS score
+          FROM rows a JOIN rows b ON a.id % 100 = 0 AND a.id <> b.id AND len(a.v) = len(b.v)),
+        positives AS (
+          SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE alike
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+          s.id AS negative_id, positive_score, s.score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.alike AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+        QUALIFY rank <= 10""",
 }

@@ -11,7 +11,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables not here")
