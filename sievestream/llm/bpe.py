@@ -26,9 +26,9 @@ from sievestream.llm.tokens import _Remembering
 LEXICON_WORDS = 50_000
 LONGEST = 40
 #: Distinct words that a task counts before it hands its counts on.
-_COUNTED = 500_000
-#: Tokens of a record batch at most, about.
-_TOKENS = 4_000_000
+_COUNTED = 200_000
+#: Characters or tokens that a worker has in hand at once, about; one longer text alone may be more.
+_CHARACTERS = 1_000_000
 
 _SPACE = re.compile("[ \t\n\r]+")
 
@@ -296,6 +296,49 @@ def write_lexicon(spark: SparkSession, words: Sequence[str], path: str, folder:
     return name
 
 
+def _encoder(path: str, lexicon: str) -> _Encoder:
+    where = SparkFiles.get(lexicon)
+    if (path, where) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, where] = _Encoder(path, where)
+    return _ENCODERS[path, where]
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, lexicon: str) -> Iterator[pa.RecordBatch]:
+    """(key, ids) of batches of (key, text)."""
+    encoder = _encoder(path, lexicon)
+    for batch in batches:
+        for low, high in _slices(pc.utf8_length(batch.column(1)).fill_null(0).to_pylist(), _CHARACTERS):
+            part = batch.slice(low, high - low)
+            ids = encoder.ids(part.column(1).fill_null("").to_pylist())
+            ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["key", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, skip_special: bool) -> Iterator[pa.RecordBatch]:
+    """(key, ids, decoded) of batches of (key, ids)."""
+    merges = _merges(path)
+    left_out = [*(merges.special.values() if skip_special else ()), *(i for i, t in enumerate(merges.tokens) if not t)]
+    known = np.ones(len(merges.tokens), bool)
+    known[left_out] = False
+    tokens = np.array(merges.tokens, object)
+    for batch in batches:
+        for low, high in _slices(pc.list_value_length(batch.column(1)).fill_null(0).to_pylist(), _CHARACTERS):
+            part = batch.slice(low, high - low)
+            flat = part.column(1).flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum([0, *pc.list_value_length(part.column(1)).fill_null(0).to_pylist()]).tolist()
+            inside = (flat >= 0) & (flat < len(known))
+            inside[inside] = known[flat[inside]]
+            texts = [" ".join(tokens[flat[start:end][inside[start:end]]].tolist()) for start, end in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["key", "ids", "decoded"])
+
+
+def _own_lexicon(rows: DataFrame, path: str, words: int) -> str:
+    spark = rows.sparkSession
+    return write_lexicon(spark, frequent_words(rows, words), path, work_dir(spark, "lexicon"))
+
+
 def encode(docs: DataFrame, path: str, lexicon: str | None = None, text: str = "text", key: str = "doc_id", words: int = LEXICON_WORDS) -> DataFrame:
     """(key, ids): the ids that the tokenizer of the file `path` gives each whole text, without special tokens at its ends.
 
@@ -306,27 +349,10 @@ def encode(docs: DataFrame, path: str, lexicon: str | None = None, text: str = "
     A null text is empty: no ids. Repeated rows and texts each get their row; an empty table gives none. White space ends every word, so texts of
     any length go word by word; a single word's memory grows with the word. Columns besides key and text are ignored, whatever their names.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    if lexicon is None:
-        lexicon = write_lexicon(spark, frequent_words(rows, words), path, work_dir(spark, "lexicon"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where = SparkFiles.get(lexicon)
-        if (path, where) not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[path, where] = _Encoder(path, where)
-        encoder = _ENCODERS[path, where]
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for low, high in _slices(list(map(len, texts)), _TOKENS):
-                ids = encoder.ids(texts[low:high])
-                ends = np.cumsum([0, *(len(i) // 4 for i in ids)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), lists], names=["key", "ids"])
-
+    name = lexicon or _own_lexicon(rows, path, words)
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids ARRAY<INT>").withColumnRenamed("key", key)
+    return rows.mapInArrow(lambda batches: _encoded(batches, path, name), f"key {kind}, ids ARRAY<INT>").withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", key: str = "doc_id", skip_special: bool = False) -> DataFrame:
@@ -334,28 +360,18 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", key: str = "doc_id",
 
     Ids that the vocabulary lacks are left out. Null ids give an empty text. Repeated rows each get their row; an empty table gives none.
     """
+    rows = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(lambda batches: _decoded(batches, path, skip_special), f"key {kind}, ids ARRAY<INT>, decoded STRING").withColumnRenamed("key", key)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = _merges(path)
-        left_out = [*(merges.special.values() if skip_special else ()), *(i for i, t in enumerate(merges.tokens) if not t)]
-        known = np.ones(len(merges.tokens), bool)
-        known[left_out] = False
-        tokens = np.array(merges.tokens, object)
-        for batch in batches:
-            for low, high in _slices(pc.list_value_length(batch.column(1)).fill_null(0).to_pylist(), _TOKENS):
-                part = batch.slice(low, high - low)
-                flat = part.column(1).flatten().to_numpy(zero_copy_only=False)
-                ends = np.cumsum([0, *pc.list_value_length(part.column(1)).fill_null(0).to_pylist()]).tolist()
-                inside = (flat >= 0) & (flat < len(known))
-                inside[inside] = known[flat[inside]]
-                texts = []
-                for start, end in zip(ends, ends[1:]):
-                    texts.append(" ".join(tokens[flat[start:end][inside[start:end]]].tolist()))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["key", "ids", "decoded"])
 
-    rows = encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
+def round_trip(docs: DataFrame, path: str, lexicon: str | None = None, text: str = "text", key: str = "doc_id", words: int = LEXICON_WORDS) -> DataFrame:
+    """(key, ids, decoded): encode() and decode() of every text one after the other in the same worker."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    name = lexicon or _own_lexicon(rows, path, words)
     kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, ids ARRAY<INT>, decoded STRING").withColumnRenamed("key", key)
+    both = rows.mapInArrow(lambda batches: _decoded(_encoded(batches, path, name), path, False), f"key {kind}, ids ARRAY<INT>, decoded STRING")
+    return both.withColumnRenamed("key", key)
 
 
 def _slices(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:

@@ -72,7 +72,7 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.decode(bpe.encode(_documents(spark, sf_dir), path), path)
+    coded = bpe.round_trip(_documents(spark, sf_dir), path)
     digest = lambda text: F.sha2(text.cast("binary"), 256)
     ids = digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids, digest(F.col("decoded")).alias("decoded_sha256"))

@@ -39,6 +39,7 @@ def test_ids_and_texts_are_those_of_the_library(spark, library, odd, odd_texts):
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
         want.append((r["doc_id"], tuple(ids), library.decode(ids, skip_special_tokens=False)))
     assert got == sorted(want)
+    assert sorted((r["doc_id"], tuple(r["ids"]), r["decoded"]) for r in bpe.round_trip(odd, PATH, words=200).collect()) == got
 
 
 def test_result_does_not_depend_on_the_lexicon(spark, odd):
@@ -47,7 +48,7 @@ def test_result_does_not_depend_on_the_lexicon(spark, odd):
 
 
 def test_empty_and_null(spark, none):
-    assert bpe.decode(bpe.encode(none, PATH), PATH).collect() == []
+    assert bpe.decode(bpe.encode(none, PATH), PATH).collect() == bpe.round_trip(none, PATH).collect() == []
     blank = spark.createDataFrame([(1, None), (2, ""), (3, " \n\t"), (None, "a b")], "doc_id LONG, text STRING")
     got = {r["doc_id"]: (r["ids"], r["decoded"]) for r in bpe.decode(bpe.encode(blank, PATH), PATH).collect()}
     assert got[1] == got[2] == got[3] == ([], "") and len(got[None][0]) == 2
