@@ -8,9 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sievestream.llm.common import cut_lineage
+from sievestream.llm.text_arrays import mixed, run_hashes, runs, windows
 
 MIN_COUNT = 100
 LONGEST = 5
@@ -22,9 +23,8 @@ FILTER_BITS = 16
 MAX_FILTER_BITS = 1 << 29
 #: Filters are put together from blocks of this many bits.
 _BLOCK_BITS = 1 << 16
-#: Bytes of text that are taken apart at once, and phrase keys that are counted at once.
-_WINDOW = 2 << 20
-_KEYS = 4_000_000
+#: Phrase keys that are counted at once.
+_KEYS = 1_000_000
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _IS_BREAK = np.zeros(256, bool)
@@ -34,17 +34,6 @@ _IS_GAP[list(b" \t")] = True
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """Spreads 64-bit numbers; a bijection."""
-    x = x.astype(np.uint64)
-    x ^= x >> np.uint64(31)
-    x *= np.uint64(0x9E3779B97F4A7C15)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    return x
-
-
 @dataclass
 class _Words:
     """The words of some texts, in order: where each lies in `data`, its piece, its text's place in the batch, two hashes of it."""
@@ -55,55 +44,28 @@ class _Words:
     piece: np.ndarray
     text: np.ndarray
     hash: np.ndarray
-    check: np.ndarray
+    check: np.ndarray | None = None
 
     def phrase(self, at: int, last: int) -> str:
         return b" ".join(self.data[self.start[at] : self.end[last]].split()).decode("utf-8", "replace")
 
 
-def _windows(texts: list[bytes]) -> Iterator[tuple[bytes, list[int], list[int]]]:
-    """Texts joined to about _WINDOW bytes, with the start and the place of each; longer ones are cut between pieces."""
-    parts, places, size = [], [], 0
-    for place, text in enumerate(texts):
-        at = 0
-        while at < len(text):
-            stop = len(text)
-            if stop - at > _WINDOW and (found := _BREAK.search(text, at + _WINDOW)):
-                stop = found.end()
-            parts.append(text[at:stop])
-            places.append(place)
-            size += stop - at
-            at = stop
-            if size >= _WINDOW:
-                yield _joined(parts, places)
-                parts, places, size = [], [], 0
-    if parts:
-        yield _joined(parts, places)
-
-
-def _joined(parts: list[bytes], places: list[int]) -> tuple[bytes, list[int], list[int]]:
-    starts = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])]).tolist()
-    return b"\n".join(parts).translate(_LOWER), starts, places
-
-
-def _words(texts: list[bytes]) -> Iterator[_Words]:
-    for data, starts, places in _windows(texts):
+def _after_break(text: bytes, at: int) -> int:
+    found = _BREAK.search(text, at)
+    return found.end() if found else len(text)
+
+
+def _words(texts: list[bytes], hashes: int = 2) -> Iterator[_Words]:
+    for data, starts, places in windows(texts, _after_break):
+        data = data.translate(_LOWER)
         raw = np.frombuffer(data, np.uint8)
         inside = ~_IS_GAP[raw]
-        edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
-        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        start, end = runs(inside)
         if not len(start):
             continue
         piece = np.cumsum(_IS_BREAK[raw])[start]
-        text = np.array(places)[np.searchsorted(starts, start, side="right") - 1]
-        length = end - start
-        inner = raw[inside].astype(np.uint64)
-        first = np.cumsum(length) - length
-        position = np.arange(len(inner)) - np.repeat(first, length)
-        spread = _mixed(inner + (position.astype(np.uint64) << np.uint64(8)))
-        hashes = np.add.reduceat(spread, first)
-        checks = np.add.reduceat(_mixed(spread), first)
-        yield _Words(data, start, end, piece, text, hashes, checks)
+        text = places[np.searchsorted(starts, start, side="right") - 1]
+        yield _Words(data, start, end, piece, text, *run_hashes(raw, inside, start, end, hashes))
 
 
 def _phrase_hashes(words: _Words, longest: int, which: str = "hash") -> list[np.ndarray]:
@@ -112,12 +74,12 @@ def _phrase_hashes(words: _Words, longest: int, which: str = "hash") -> list[np.
     out = [single[:0], single]
     for k in range(2, longest + 1):
         n = max(len(single) - k + 1, 0)
-        out.append(_mixed(out[-1][:n] * np.uint64(0xA0761D6478BD642F) + single[k - 1 : k - 1 + n]))
+        out.append(mixed(out[-1][:n] * np.uint64(0xA0761D6478BD642F) + single[k - 1 : k - 1 + n]))
     return out
 
 
 def _bit(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (_mixed(keys ^ np.uint64(0x51ED270B)) & np.uint64(bits - 1)).astype(np.int64)
+    return (mixed(keys ^ np.uint64(0x51ED270B)) & np.uint64(bits - 1)).astype(np.int64)
 
 
 @dataclass(frozen=True)
@@ -157,7 +119,7 @@ def _filter(entries: DataFrame, key: str = "key") -> _Filter:
 
 
 def _in_shard(keys: np.ndarray, shards: np.ndarray) -> np.ndarray:
-    return _mixed(keys + (shards.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return mixed(keys + (shards.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def _tallied(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
@@ -179,36 +141,29 @@ def _scan(docs: DataFrame, schema: str, work: Callable[[_Words, np.ndarray, np.n
     return docs.mapInArrow(run, schema)
 
 
-def _count_members(docs: DataFrame, member: Callable[[list[np.ndarray], np.ndarray], Iterator[tuple[int, np.ndarray]]], longest: int, min_count: int) -> DataFrame:
-    """(lang, phrase, words, f) of the phrases that `member` lets pass, counted by their text over all documents."""
+def _count_members(docs: DataFrame, member: Callable[[list[np.ndarray], np.ndarray], Iterator[tuple[int, np.ndarray]]], longest: int, totals: bool = False) -> DataFrame:
+    """(lang, phrase, words, f) of the phrases that `member` lets pass, counted by their text over all documents.
+
+    With `totals` also the words of each language and shard, under the number -1 - shard instead of that of the words, without a phrase.
+    """
 
     def count(words: _Words, lang_hash: np.ndarray, langs: np.ndarray, shards: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def rows(langs: np.ndarray, phrases: list, k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(k.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "phrase", "words", "n"])
+
+        if totals:
+            texts, n = np.unique(words.text, return_counts=True)
+            yield rows(langs[texts], [None] * len(texts), -1 - shards[texts], n)
         hashes, checks = _phrase_hashes(words, longest), _phrase_hashes(words, longest, "check")
         for k, at in member(hashes, lang_hash):
             at = at[words.piece[at] == words.piece[at + k - 1]] if k > 1 else at
-            keys, twice = _mixed(hashes[k][at] ^ lang_hash[at]), _mixed(checks[k][at] + lang_hash[at])
+            keys, twice = mixed(hashes[k][at] ^ lang_hash[at]), mixed(checks[k][at] + lang_hash[at])
             tally = _tallied(keys, twice)
             first, n = tally if tally else (np.arange(len(at)), np.ones(len(at), np.int64))
-            phrases = [words.phrase(i, i + k - 1) for i in at[first].tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs[words.text[at[first]]], pa.string()), pa.array(phrases, pa.string()), pa.array(np.full(len(first), k, np.int32)), pa.array(n.astype(np.int64))],
-                names=["lang", "phrase", "words", "n"],
-            )
+            yield rows(langs[words.text[at[first]]], [words.phrase(i, i + k - 1) for i in at[first].tolist()], np.full(len(first), k), n)
 
     counted = _scan(docs, "lang STRING, phrase STRING, words INT, n LONG", count)
-    return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-
-
-def _shard_totals(docs: DataFrame) -> DataFrame:
-    """Words of each language and shard, and of the language."""
-
-    def count(words: _Words, lang_hash: np.ndarray, langs: np.ndarray, shards: np.ndarray) -> Iterator[pa.RecordBatch]:
-        texts, n = np.unique(words.text, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(langs[texts], pa.string()), pa.array(shards[texts]), pa.array(n)], names=["lang", "shard", "n"])
-
-    by_shard = _scan(docs, "lang STRING, shard INT, n LONG", count).groupBy("lang", "shard").agg(F.sum("n").alias("n_shard"))
-    by_shard = cut_lineage(by_shard, "phrases-shards")
-    return by_shard.join(by_shard.groupBy("lang").agg(F.sum("n_shard").alias("n_lang")), "lang")
+    return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
 
 
 def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_count: int) -> DataFrame:
@@ -230,13 +185,13 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
         for batch in batches:
             langs = batch.column(0).to_numpy(zero_copy_only=False)
             lang_hash, shards = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
-            for words in _words(batch.column(3).cast(pa.binary()).to_pylist()):
+            for words in _words(batch.column(3).cast(pa.binary()).to_pylist(), 1):
                 hashes, of = _phrase_hashes(words, k), lang_hash[words.text]
                 n = len(hashes[k])
-                known = _mixed(hashes[k - 1] ^ of[: len(hashes[k - 1])])
+                known = mixed(hashes[k - 1] ^ of[: len(hashes[k - 1])])
                 known = shorter.has(known if k == 2 else _in_shard(known, shards[words.text[: len(known)]]))
                 at = np.flatnonzero(known[:n] & known[1 : n + 1] & (words.piece[:n] == words.piece[k - 1 : k - 1 + n]))
-                keys, texts = _mixed(hashes[k][at] ^ of[at]), words.text[at]
+                keys, texts = mixed(hashes[k][at] ^ of[at]), words.text[at]
                 order = np.argsort(shards[texts], kind="stable")
                 order = order[np.argsort(lang_hash[texts[order]], kind="stable")]
                 keys, texts = keys[order], texts[order]
@@ -269,9 +224,11 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     rows = docs.select(
         language.alias("lang"), F.xxhash64(language).alias("lang_hash"), F.pmod(F.xxhash64(F.lit("shard"), F.col(text)), shards).cast("int").alias("shard"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
-    totals = _shard_totals(rows)
-    singles = _count_members(rows, lambda hashes, of: iter([(1, np.arange(len(hashes[1])))]), 1, min_count)
-    singles = cut_lineage(singles, "phrases-words")
+    every_word = lambda hashes, of: iter([(1, np.arange(len(hashes[1])))])
+    counted = cut_lineage(_count_members(rows, every_word, 1, totals=True).where((F.col("f") >= min_count) | (F.col("words") < 0)), "phrases-words")
+    singles = counted.where("words > 0")
+    by_shard = counted.where("words < 0").select("lang", (-1 - F.col("words")).alias("shard"), F.col("f").alias("n_shard"))
+    totals = cut_lineage(by_shard.join(by_shard.groupBy("lang").agg(F.sum("n_shard").alias("n_lang")), "lang"), "phrases-shards")
     shorter, found = _filter(_keys_of(singles)), []
     for k in range(2, longest + 1):
         frequent = cut_lineage(_mine(rows, k, shorter, totals, min_count), f"phrases-{k}")
@@ -285,9 +242,9 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
 
     def member(hashes: list[np.ndarray], of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         for k in range(2, longest + 1):
-            yield k, np.flatnonzero(candidates.has(_mixed(hashes[k] ^ of[: len(hashes[k])])))
+            yield k, np.flatnonzero(candidates.has(mixed(hashes[k] ^ of[: len(hashes[k])])))
 
-    counted = cut_lineage(_count_members(rows, member, longest, min_count), "phrases-counted")
+    counted = cut_lineage(_count_members(rows, member, longest).where(F.col("f") >= min_count), "phrases-counted")
     return singles.unionByName(counted), totals.groupBy("lang").agg(F.max("n_lang").alias("n"))
 
 
@@ -297,8 +254,8 @@ def _keys_of(singles: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             of = batch.column(1).to_numpy().view(np.uint64)
-            for words in _words(batch.column(0).cast(pa.binary()).to_pylist()):
-                yield pa.RecordBatch.from_arrays([pa.array(_mixed(words.hash ^ of[words.text]).view(np.int64))], names=["key"])
+            for words in _words(batch.column(0).cast(pa.binary()).to_pylist(), 1):
+                yield pa.RecordBatch.from_arrays([pa.array(mixed(words.hash ^ of[words.text]).view(np.int64))], names=["key"])
 
     return singles.select("phrase", F.xxhash64("lang")).mapInArrow(run, "key LONG")
 
@@ -312,10 +269,6 @@ def _shard_keys(frequent: DataFrame) -> DataFrame:
     return frequent.select("key", "shard").mapInArrow(run, "key LONG")
 
 
-def _first(phrase: Column, k: Column) -> Column:
-    return F.substring_index(phrase, " ", k)
-
-
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, top: int = TOP, shards: int = SHARDS) -> DataFrame:
     """The `top` collocations of each language: lang, rank, phrase, a, l, r, n, score.
 

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from sievestream.llm import phrases
+from sievestream.llm import phrases, text_arrays
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -59,7 +59,7 @@ def test_equals_a_plain_count(spark, texts, shards, min_count, top):
 
 
 def test_long_texts_are_cut_between_pieces_only(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "_WINDOW", 300)
+    monkeypatch.setattr(text_arrays, "WINDOW", 300)
     rng = random.Random(9)
     long = "".join(rng.choice(["a b c", "d", " ", ". ", "e f", " g "]) for _ in range(5000))
     parts = list(phrases._words([long.encode(), b"a b", ("h" * 2000).encode()]))
@@ -86,7 +86,7 @@ def test_filters_lose_nothing(spark):
     made = phrases._filter(keys)
     own = np.array([r["key"] for r in keys.collect()]).view(np.uint64)
     assert made.has(own).all()
-    assert made.has(phrases._mixed(own + np.uint64(1))).mean() < 0.2
+    assert made.has(text_arrays.mixed(own + np.uint64(1))).mean() < 0.2
 
 
 def test_products_beyond_64_bits_are_exact(spark):
