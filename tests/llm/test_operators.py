@@ -414,14 +414,6 @@ def test_every_member_of_a_bucket_is_compared(spark, monkeypatch):
     assert near == {tuple(sorted((digest[a], digest[b]))) for a, b in pairs}
 
 
-def test_disguised_insults_at_any_place(spark):
-    disguised = ["$hit", "5tupid", "@sshole", "a$$hole", "1diot", "cree7", "4$$", "i.d.i.o.t", "st_upid"]
-    rows = [(i, t) for i, t in enumerate([*disguised, "plain words", "no. 9 and 10", "shit"])]
-    feature = toxicity.features(toxicity.F.col("text"))["hidden"]
-    got = {r["id"]: r["hidden"] for r in spark.createDataFrame(rows, "id INT, text STRING").select("id", feature.alias("hidden")).collect()}
-    assert [i for i, t in rows if got[i] > 0] == [i for i, t in rows if t in disguised and t != "cree7"]
-
-
 def test_stages_decide_by_row(spark, monkeypatch):
     rng = np.random.default_rng(31)
     a, b, c, d = (" ".join(f"w{x}" for x in rng.integers(0, 5000, 40)) for _ in range(4))
