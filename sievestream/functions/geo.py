@@ -67,18 +67,48 @@ def overlaps(area: Column, other: Column) -> Column:
     )
 
 
-def grid_cells(area: Column, degrees: float) -> Column:
-    """All grid cells an area touches (none for reversed corners); the border cells take what lies outside."""
+#: Levels of the cells: on level k the world is cut into 2 ** k by 2 ** k of them.
+CELL_LEVELS = 16
+#: A box is covered by at most this many cells.
+MAX_CELLS = 16
 
-    def steps(low: Column, high: Column, limit: float) -> Column:
-        first, last = (F.floor(F.greatest(F.lit(-limit), F.least(F.lit(limit), x)) / degrees) for x in (low, high))
-        return F.when(low <= high, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
-    rows = steps(area["lat1"], area["lat2"], 90.0)
-    columns = steps(area["lon1"], area["lon2"], 180.0)
-    return F.flatten(
-        F.transform(rows, lambda r: F.transform(columns, lambda c: F.struct(r.alias("row"), c.alias("col"))))
-    )
+def _span(area: Column, axis: str, level: Column) -> tuple[Column, Column]:
+    """First and last cell on a level along an axis. Corners in the wrong order are swapped; border cells take what lies outside."""
+    limit = 180.0 if axis == "lon" else 90.0
+    cells = F.pow(F.lit(2.0), level)
+
+    def place(x: Column) -> Column:
+        return F.least(cells - 1, F.greatest(F.lit(0.0), F.floor((x + limit) / (2 * limit) * cells))).cast("long")
+
+    one, two = area[f"{axis}1"], area[f"{axis}2"]
+    return place(F.least(one, two)), place(F.greatest(one, two))
+
+
+def cell_level(area: Column) -> Column:
+    """The finest level on which at most MAX_CELLS cells cover an area; null for an area without numbers."""
+
+    def few(level: Column) -> Column:
+        (west, east), (south, north) = _span(area, "lon", level), _span(area, "lat", level)
+        return (east - west + 1) * (north - south + 1) <= MAX_CELLS
+
+    return F.array_max(F.filter(F.sequence(F.lit(0), F.lit(CELL_LEVELS)), few))
+
+
+def cells(area: Column, own: Column, others: list[int]) -> Column:
+    """The cells that cover an area on its own level, and those above them on the coarser ones of `others`.
+
+    So two areas that touch share a cell whenever each is given the levels that the other side has: on the coarser one of their own levels.
+    """
+
+    def on(level: Column) -> Column:
+        (west, east), (south, north) = _span(area, "lon", level), _span(area, "lat", level)
+        columns, rows = F.sequence(west, east), F.sequence(south, north)
+        cell = lambda x, y: F.struct(level.cast("int").alias("level"), x.alias("x"), y.alias("y"))
+        return F.flatten(F.transform(columns, lambda x: F.transform(rows, lambda y: cell(x, y))))
+
+    coarser = F.filter(F.array(*map(F.lit, others)).cast("array<int>"), lambda level: level < own)
+    return F.array_distinct(F.flatten(F.transform(F.concat(coarser, F.array(own.cast("int"))), on)))
 
 
 def legacy_box_error(value: Column) -> Column:

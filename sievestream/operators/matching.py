@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -44,6 +44,13 @@ class RuleBag:
     rows: tuple[dict, ...]
     collector_type: str
     terms: dict[str, list[tuple[int, tuple[str, ...]]]] = field(default_factory=dict)
+    _finders: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def finder(self, spark: SparkSession, automaton: bool) -> Callable[[Column], Column]:
+        """The keyword search, made once for a bag that serves many micro-batches."""
+        if automaton not in self._finders:
+            self._finders[automaton] = substring_finder(spark, self.terms["keyword"], automaton)
+        return self._finders[automaton]
 
     @property
     def matched_type(self) -> str:
@@ -99,12 +106,17 @@ Entries = list[tuple[int, tuple[str, ...]]]
 
 
 def substring_hits(spark: SparkSession, text: Column, entries: Entries, automaton: bool = True) -> Column:
-    """Positions (ascending) of the entries whose terms all occur in `text`. The automaton needs its library on the executors."""
+    """Positions (ascending) of the entries whose terms all occur in `text`."""
+    return substring_finder(spark, entries, automaton)(text)
+
+
+def substring_finder(spark: SparkSession, entries: Entries, automaton: bool = True) -> Callable[[Column], Column]:
+    """`substring_hits` of these entries, for any text. The automaton needs its library on the executors."""
     if automaton:
-        return _automaton_hits(spark, entries)(text)
+        return _automaton_hits(spark, entries)
     rules = _term_literal(entries)
     all_in = lambda t: F.filter(rules, lambda r: F.forall(r["terms"], lambda term: F.contains(t, term)))
-    return F.transform(V.let(text, all_in), lambda r: r["idx"])
+    return lambda text: F.transform(V.let(text, all_in), lambda r: r["idx"])
 
 
 def _term_literal(entries: Entries) -> Column:
@@ -182,7 +194,7 @@ def match_in_place(messages: DataFrame, bag: RuleBag, contents: dict[str, Column
     positions = []
     for kind in bag.terms:
         if kind == "keyword":
-            positions.append(substring_hits(spark, contents[kind], bag.terms[kind], automaton))
+            positions.append(bag.finder(spark, automaton)(contents[kind]))
         else:
             messages = messages.withColumn(f"_{kind}", contents[kind])
             positions.append(_set_hits(f"_{kind}", kind, bag))
@@ -217,46 +229,59 @@ def _all_grams(text: Column, lengths: list[int]) -> Column:
     return F.concat(*[_grams(text, n) for n in lengths])
 
 
-def _token_term_hits(tokens: DataFrame, terms: DataFrame) -> DataFrame:
+def term_grams(terms: DataFrame) -> DataFrame:
+    """(term, gram): every gram of each term; terms shorter than a gram are one themselves."""
+    size = F.least(F.char_length("term"), F.lit(GRAM))
+    own = F.lit(None).cast("array<string>")
+    for n in range(1, GRAM + 1):
+        own = F.when(size == n, _grams(F.col("term"), n)).otherwise(own)
+    return terms.where("term <> ''").select("term", F.explode(own).alias("gram"))
+
+
+def gram_of_terms(grams: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """(term, gram): of each term's grams the one it shares with the fewest others; `earlier` (gram, n_terms) counts terms not among these."""
+    counts = grams.groupBy("gram").agg(F.count("*").alias("n_terms"))
+    if earlier is not None:
+        counts = counts.unionByName(earlier).groupBy("gram").agg(F.sum("n_terms").alias("n_terms"))
+    rated = salted_join(grams, counts, ["gram"], F.col("term"))
+    return rated.groupBy("term").agg(F.min_by("gram", F.struct("n_terms", "gram")).alias("gram"))
+
+
+def _token_term_hits(tokens: DataFrame, terms: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
     """(token, term) for every distinct token that contains a distinct term.
 
-    Every term is looked up by one of its grams, the one it shares with the fewest other terms; terms shorter than
-    a gram by themselves. Candidates are verified.
+    Every term is looked up by one of its grams, the one it shares with the fewest other terms (or that `anchors`, (term, gram), gives it).
+    Candidates are verified.
     """
-    distinct_terms = terms.select("term").where("term != ''").distinct()
-    sized = distinct_terms.withColumn("_n", F.least(F.char_length("term"), F.lit(GRAM)))
-    lengths = sorted(r["_n"] for r in sized.select("_n").distinct().collect())  # at most GRAM numbers
+    if anchors is None:
+        anchors = gram_of_terms(term_grams(terms.select("term").where("term != ''").distinct()))
+    anchors = cut_lineage(anchors, "anchors")
+    lengths = sorted(r["n"] for r in anchors.select(F.char_length("gram").alias("n")).distinct().collect())  # at most GRAM numbers
     if not lengths:
         return tokens.select("token", F.col("token").alias("term")).where(F.lit(False))
-    own_grams = F.lit(None).cast("array<string>")
-    for n in lengths:
-        own_grams = F.when(F.col("_n") == n, _grams(F.col("term"), n)).otherwise(own_grams)
-    term_grams = sized.select("term", F.explode(own_grams).alias("gram"))
-    shared = term_grams.groupBy("gram").agg(F.count("*").alias("n_terms"))
-    anchors = (
-        salted_join(term_grams, shared, ["gram"], F.col("term"))
-        .groupBy("term")
-        .agg(F.min_by("gram", F.struct("n_terms", "gram")).alias("gram"))
-    )
-    anchors = cut_lineage(anchors, "anchors")
     token_grams = tokens.select("token", F.explode(_all_grams(F.col("token"), lengths)).alias("gram"))
     candidates = salted_join(token_grams, anchors, ["gram"], F.col("token"))
     return candidates.where(F.contains("token", "term")).select("token", "term")
 
 
 def keyword_pairs(
-    messages: DataFrame, terms: DataFrame, text: str = "keyword", row_id: str = "row_id", key: str = "rule_id"
+    messages: DataFrame,
+    terms: DataFrame,
+    text: str = "keyword",
+    row_id: str = "row_id",
+    key: str = "rule_id",
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
     """(row_id, key) of every keyword rule whose terms are all substrings of the message text.
 
     A term has no blank, so it can only occur inside one blank-separated token. Substring search is done once on the
-    distinct tokens of the whole input; messages meet the result by equality.
+    distinct tokens of the whole input; messages meet the result by equality. `anchors` gives the gram of each term where an index keeps them.
     """
     tokens = messages.select(
         row_id, F.explode(F.array_distinct(F.split(F.col(text), " "))).alias("token")
     ).where("token != ''")
     # Written out, its size is known: where it is small the tokens stay where they are.
-    hits = cut_lineage(_token_term_hits(tokens.select("token").distinct(), terms), "token-hits")
+    hits = cut_lineage(_token_term_hits(tokens.select("token").distinct(), terms, anchors), "token-hits")
     found = salted_join(tokens, hits, ["token"], F.col(row_id), salts=WIDE_SALTS).select(row_id, "term").distinct()
     worded = terms.where("term != ''")
     pairs = _all_terms_found(found, worded, row_id, key)
@@ -305,12 +330,17 @@ def _all_terms_found(found: DataFrame, terms: DataFrame, row_id: str, key: str)
     return single.unionByName(confirmed.select(row_id, key))
 
 
-def _key_pairs(messages: DataFrame, keyed: DataFrame, collector_type: str, row_id: str) -> DataFrame:
+def _key_pairs(
+    messages: DataFrame, keyed: DataFrame, collector_type: str, row_id: str, anchors: DataFrame | None = None
+) -> DataFrame:
     """(row_id, _key) over all kinds the collector type can match."""
     parts = []
     for kind in MATCHABLE_KINDS[collector_type]:
-        match = keyword_pairs if kind == "keyword" else set_pairs
-        parts.append(match(messages, terms_table(keyed, kind, "_key"), kind, row_id, "_key"))
+        terms = terms_table(keyed, kind, "_key")
+        if kind == "keyword":
+            parts.append(keyword_pairs(messages, terms, kind, row_id, "_key", anchors))
+        else:
+            parts.append(set_pairs(messages, terms, kind, row_id, "_key"))
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -351,17 +381,23 @@ def _matched_columns(rules: DataFrame) -> list[Column]:
 
 
 def tag_by_joins(
-    messages: DataFrame, rules: DataFrame, collector_type: str, row_id: str = "row_id", order: str = "rule_id"
+    messages: DataFrame,
+    rules: DataFrame,
+    collector_type: str,
+    row_id: str = "row_id",
+    order: str = "rule_id",
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
     """`collection_rules` for rule tables of any size; `messages` has one content column per kind.
 
-    Messages get a number of their own, so repeated and null ids keep their rows apart; `row_id` is not used.
+    Messages get a number of their own, so repeated and null ids keep their rows apart; `row_id` is not used. `anchors` are the grams of
+    all keyword terms where an index (operators.term_index) keeps them.
     """
     keyed = with_key(rules)
     rows = keyed.select("_key", F.col(order).alias("_order"), F.struct(*_matched_columns(keyed)).alias("_rule"))
     numbered = cut_lineage(messages.withColumn("_message", F.monotonically_increasing_id()), "messages")
     content = numbered.select("_message", *MATCHABLE_KINDS[collector_type])
-    pairs = _key_pairs(content, keyed, collector_type, "_message")
+    pairs = _key_pairs(content, keyed, collector_type, "_message", anchors)
     # As in place: by the order column, null last, equal ones in table order.
     tag = F.struct(F.col("_order").isNull().alias("_last"), "_order", "_key", "_rule")
     tags = salted_join(pairs, rows, ["_key"], F.col("_message")).groupBy("_message").agg(F.array_sort(F.collect_list(tag)).alias("_tags"))
@@ -392,12 +428,13 @@ def within_boxes(
     messages: DataFrame,
     boxes: DataFrame,
     area: Column,
-    degrees: float = 1.0,
     form: str = "in_place",
 ) -> DataFrame:
     """Messages whose area touches a box of a locations rule (`boxes` has `value`).
 
-    In place every box is tested on every message, also on streams; the join form meets boxes and messages in grid cells.
+    In place every box is tested on every message, also on streams. The join form meets them in cells: a box is covered by a few cells of the level that fits its
+    size, and so is an area. Of two that touch, the cells of the larger are the same as, or lie above, those of the smaller; so either side is also looked up
+    by the cells above its own, on the levels that the other side has. Rows in the join grow with boxes and messages, whatever their sizes.
     """
     parsed = boxes.select(G.box(F.col("value")).alias("box")).where("box IS NOT NULL").distinct()
     if check_form(form) == "in_place":
@@ -408,9 +445,13 @@ def within_boxes(
         )
         return messages.where(V.let(area, lambda a: F.exists(literal, lambda b: G.overlaps(a, b))))
     numbered = cut_lineage(messages.withColumn("_message", F.monotonically_increasing_id()), "messages")
-    placed = numbered.select("_message", area.alias("area")).where("area IS NOT NULL")
-    by_cell = spread(placed.withColumn("cell", F.explode(G.grid_cells(F.col("area"), degrees))), F.col("_message"))
-    box_cells = repeated(parsed.withColumn("cell", F.explode(G.grid_cells(F.col("box"), degrees))))
+    placed = numbered.select("_message", area.alias("area")).where("area IS NOT NULL").withColumn("level", G.cell_level(F.col("area")))
+    placed = cut_lineage(placed, "areas")
+    levelled = cut_lineage(parsed.withColumn("level", G.cell_level(F.col("box"))), "boxes")
+    levels = [sorted(r["level"] for r in side.select("level").distinct().collect()) for side in (levelled, placed)]  # at most CELL_LEVELS numbers
+    by_cell = placed.withColumn("cell", F.explode(G.cells(F.col("area"), F.col("level"), levels[0])))
+    by_cell = spread(by_cell, F.col("_message"), WIDE_SALTS)
+    box_cells = repeated(levelled.withColumn("cell", F.explode(G.cells(F.col("box"), F.col("level"), levels[1]))), WIDE_SALTS)
     # A semi join stops at the first box that fits: no message x box pairs are produced.
     fits = (
         (by_cell["cell"] == box_cells["cell"])

@@ -114,22 +114,25 @@ def limit_windows(limits: DataFrame, window: str = "900 seconds", every: str = "
     return merged.select(F.col("w.start").alias("window_start"), "n_limits", "sum_limit", "max_limit", "last_limit")
 
 
-def rate_stats(series: DataFrame, now_us: Column | int, window_us: int, keys: DataFrame | None = None) -> DataFrame:
+def rate_stats(
+    series: DataFrame, now_us: Column | int, window_us: int, keys: DataFrame | None = None, weight: str | None = None
+) -> DataFrame:
     """Count, average, highest and lowest per-second rate of every key over the last `window_us`.
 
-    `series` is (rule_value, ts). Seconds are counted from the key's first event in the window. `keys` lists values
+    `series` is (rule_value, ts), each row one event or, with `weight`, as many as this column says. Seconds are counted from the key's first event in the window. `keys` lists values
     that get a row even without events. An empty window gives no rows.
     """
     now = F.lit(now_us) if isinstance(now_us, int) else now_us
     seconds = float(window_us) / V.MICROS
     whole_seconds = window_us // V.MICROS
-    recent = series.select("rule_value", V.micros(F.col("ts")).alias("at")).where(F.lit(window_us > 0) & (F.col("at") >= now - window_us))
+    events = F.lit(1).cast("long") if weight is None else F.col(weight)
+    recent = series.select("rule_value", V.micros(F.col("ts")).alias("at"), events.alias("n")).where(F.lit(window_us > 0) & (F.col("at") >= now - window_us))
     # One row per rule value. Written out, its size is known: where it is small the events are not shuffled for it.
     first = cut_lineage(recent.groupBy("rule_value").agg(F.min("at").alias("first_at")), "first-events")
     per_second = (
         salted_join(recent, first, ["rule_value"], F.col("at"))
         .groupBy("rule_value", V.floor_div(F.col("at") - F.col("first_at"), V.MICROS).alias("second"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     stats = per_second.groupBy("rule_value").agg(
         F.sum("n").alias("count"),
@@ -155,10 +158,12 @@ def evaluation_span_us(now_us: int, last_us: int, interval_us: int) -> int:
     return min(now_us - last_us, 2 * interval_us)
 
 
-def rate_report(series: DataFrame, now_us: int, window_us: int, keys: DataFrame | None = None) -> DataFrame:
+def rate_report(
+    series: DataFrame, now_us: int, window_us: int, keys: DataFrame | None = None, weight: str | None = None
+) -> DataFrame:
     """Rates of the inbound series and of the admitted one; `series` is (rule_value, ts, admitted)."""
-    inbound = rate_stats(series, now_us, window_us, keys).withColumn("direction", F.lit("in"))
-    admitted = rate_stats(series.where("admitted"), now_us, window_us, keys).withColumn("direction", F.lit("out"))
+    inbound = rate_stats(series, now_us, window_us, keys, weight).withColumn("direction", F.lit("in"))
+    admitted = rate_stats(series.where("admitted"), now_us, window_us, keys, weight).withColumn("direction", F.lit("out"))
     return inbound.unionByName(admitted)
 
 
@@ -206,10 +211,13 @@ def _metric(event: Column, names: dict[str, str]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), event)
 
 
-def counters(events: DataFrame, names: dict[str, str], *tags: str, window: str = "1 day") -> DataFrame:
-    """How often each metric's event came up per window and tags; `events` is (ts, event, tags)."""
+def counters(
+    events: DataFrame, names: dict[str, str], *tags: str, window: str = "1 day", weight: str | None = None
+) -> DataFrame:
+    """How often each metric's event came up per window and tags; `events` is (ts, event, tags), a row being `weight` events if given."""
     named = events.withColumn("metric", _metric(F.col("event"), names)).where("metric IS NOT NULL")
-    counted = named.groupBy(F.window("ts", window).alias("w"), "metric", *tags).agg(F.count("*").alias("n"))
+    often = F.count("*") if weight is None else F.sum(weight)
+    counted = named.groupBy(F.window("ts", window).alias("w"), "metric", *tags).agg(often.alias("n"))
     return counted.select(F.col("w.start").alias("window_start"), "metric", *tags, "n")
 
 

@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sievestream.functions import geo as G
 from sievestream.functions import values as V
+from sievestream.operators.distribute import first_per_group
 from sievestream.operators.matching import check_form, few_rows, keyword_pairs, substring_hits
 from sievestream.schemas import MAX_TRACK_LENGTH
+from sievestream.session import cut_lineage
 
 TOO_FAST_TO_MEASURE = 10000.0
 # Fixed value: the error text of a track phrase that is too long.
@@ -68,13 +70,19 @@ def recent_by_keyword(
     else:
         terms = asked.select(F.col("keyword").alias("rule_id"), F.explode(V.match_terms(F.col("keyword"))).alias("term"))
         texts = messages.select("row_id", "ts", F.lower("text").alias("keyword"))
-        pairs = keyword_pairs(texts.select("row_id", "keyword"), terms)
-        both = texts.select("row_id", "ts", F.col("keyword").alias("text")).join(pairs, "row_id")
-        hits = both.where(F.contains(F.col("text"), F.lower("rule_id"))).select("row_id", "ts", F.col("rule_id").alias("keyword"))
+        pairs = cut_lineage(keyword_pairs(texts.select("row_id", "keyword"), terms), "keyword-pairs")
+        # Of one word the pair is proof enough; only phrases are looked for in the texts again, once for each message that may have one.
+        is_phrase = F.contains("rule_id", F.lit(" "))
+        words = messages.select("row_id", "ts").join(pairs.where(~is_phrase), "row_id")
+        phrases = pairs.where(is_phrase).groupBy("row_id").agg(F.collect_set("rule_id").alias("_asked"))
+        in_text = F.filter("_asked", lambda k: F.contains(F.col("keyword"), F.lower(k)))
+        found = texts.join(phrases, "row_id").select("row_id", "ts", F.explode(in_text).alias("rule_id"))
+        hits = words.unionByName(found).select("row_id", "ts", F.col("rule_id").alias("keyword"))
     if n is None:
         return hits.withColumn("rank", F.lit(None).cast("int")).select("keyword", "row_id", "ts", "rank")
-    newest = Window.partitionBy("keyword").orderBy(F.col("ts").desc(), F.col("row_id").desc())
-    ranked = hits.withColumn("rank", F.row_number().over(newest))
+    order = [F.col("ts").desc(), F.col("row_id").desc()]
+    first = first_per_group(hits, ["keyword"], order, n, F.col("row_id"))
+    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("keyword").orderBy(*order)))
     return ranked.where(F.col("rank") <= n).select("keyword", "row_id", "ts", "rank")
 
 

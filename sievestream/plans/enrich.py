@@ -28,11 +28,18 @@ def prepare(
 
 
 def tag(
-    prepared: DataFrame, rules: DataFrame, collector_type: str, instance_id: int, order: str = "rule_id", form: str = "in_place"
+    prepared: DataFrame,
+    rules: DataFrame | X.RuleBag,
+    collector_type: str,
+    instance_id: int,
+    order: str = "rule_id",
+    form: str = "in_place",
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
     """Adds `collection_rules` (null for what is not a tweet) and the marker for tweets without a match.
 
-    `form` is how rules meet messages (see operators.matching); joins need a table or a micro-batch.
+    `form` is how rules meet messages (see operators.matching); joins need a table or a micro-batch, and take `anchors` from an index of terms. In place
+    the rules may be given as they travel with the plan.
     """
     check_collector_type(collector_type)
     X.check_form(form)
@@ -40,12 +47,13 @@ def tag(
         tagged = _tag_locations(prepared, rules, order)
     else:
         if form == "in_place":
-            tagged = X.match_in_place(prepared, X.rule_bag(rules, collector_type, order), contents(collector_type))
+            bag = rules if isinstance(rules, X.RuleBag) else X.rule_bag(rules, collector_type, order)
+            tagged = X.match_in_place(prepared, bag, contents(collector_type))
         elif prepared.isStreaming:
             raise ValueError("the join form needs a micro-batch: call enrich() inside foreachBatch")
         else:
             with_content = prepared.select("*", *[c.alias(k) for k, c in contents(collector_type).items()])
-            tagged = X.tag_by_joins(with_content, rules, collector_type, order=order).drop(*MATCHABLE_KINDS[collector_type])
+            tagged = X.tag_by_joins(with_content, rules, collector_type, order=order, anchors=anchors).drop(*MATCHABLE_KINDS[collector_type])
     enriched = (F.col("message_class") == "tweet") & F.col("enrichment_error").isNull()
     tagged = tagged.withColumn("collection_rules", F.when(enriched, F.col("collection_rules")))
     return X.mark_unmatched(tagged, collector_type, instance_id)
@@ -75,14 +83,15 @@ def add_output(tagged: DataFrame, meta: str = DEFAULT_META) -> DataFrame:
 
 def enrich(
     lines: DataFrame,
-    rules: DataFrame,
+    rules: DataFrame | X.RuleBag,
     collector_type: str,
     instance_id: int = 0,
     order: str = "rule_id",
     meta: str = DEFAULT_META,
     observation: Observation | str | None = None,
     form: str = "in_place",
+    anchors: DataFrame | None = None,
 ) -> DataFrame:
     """Message lines in; one row per well-formed message out, with `collection_rules` and the `output` line."""
     prepared = prepare(lines, instance_id, meta, observation)
-    return add_output(tag(prepared, rules, collector_type, instance_id, order, form), meta)
+    return add_output(tag(prepared, rules, collector_type, instance_id, order, form, anchors), meta)

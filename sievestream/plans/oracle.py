@@ -120,6 +120,12 @@ decided AS (
 EVENT_BUCKET = DENSE + "," + _bucket("dense", 2, 5)
 
 
+LINE_BUCKET = """
+lined AS (
+  SELECT event_id AS row_id, user_id::VARCHAR AS rule_value, epoch_us(ts) // 100000000000 * 1000000 AS at_us FROM events
+),""" + _bucket("lined", 1, 1)
+
+
 def _rates(series: str, now_us: int, window_us: int, direction: str = "") -> str:
     seconds = window_us // 1_000_000
     return f"""
@@ -472,4 +478,71 @@ ORACLE: dict[str, str] = {
         SELECT window_start, rule_id, count(*) AS n FROM slid
         WHERE (window_start + 7200) * 1000000 <= (SELECT epoch_us(max(ts)) - 60000000 FROM events)
         GROUP BY ALL""",
+    "limit_lines": f"WITH RECURSIVE {LINE_BUCKET} SELECT row_id AS event_id, rule_value, admitted FROM decided",
+    "limit_lines_stream": f"WITH RECURSIVE {LINE_BUCKET} SELECT row_id AS event_id, rule_value, admitted FROM decided",
+    "rule_log": f"""
+        WITH {BENCH_RULES},
+        turns AS (SELECT * FROM (VALUES (0, 0, 0), (1, 1, 0), (2, 2, 1), (3, 3, 2), (4, 1, 0)) AS t(turn, batch_id, version)),
+        used AS (
+          SELECT turn, batch_id, version, CASE WHEN version = 2 THEN lower(value) ELSE value END AS value
+          FROM turns, rules WHERE version = 0 OR rule_id::BIGINT % 2 = 0)
+        SELECT turn, batch_id, version, count(*) AS n_rules, min(value) AS first_value FROM used GROUP BY ALL""",
+    "match_by_index": f"""
+        WITH {BENCH_RULES},
+        kept AS (
+          SELECT rule_id, CASE WHEN rule_id::BIGINT % 7 = 1 AND rule_id::BIGINT % 5 > 0 THEN split_part(value, ' ', 1) ELSE value END AS value
+          FROM rules WHERE rule_id::BIGINT % 5 > 0 OR rule_id::BIGINT % 3 = 2)
+        SELECT doc_id, rule_id FROM documents, kept WHERE {ALL_TERMS.format(text="lower(text)")}""",
+    "rule_json_round_trip": """
+        SELECT p_partkey::VARCHAR AS rule_id, p_name AS value, CASE WHEN p_size > 20 THEN p_brand END AS tag, NULL::VARCHAR AS description FROM part""",
+    "rule_delta": f"""
+        WITH {TWO_SETS}, c AS (SELECT rule_id, tag, CASE WHEN rule_id % 3 > 0 THEN lower(value) ELSE value END AS value FROM b)
+        SELECT rule_id, CASE WHEN a.value IS NULL THEN 'added' WHEN c.value IS NULL THEN 'removed' ELSE 'changed' END AS change
+        FROM a FULL JOIN c USING (rule_id)
+        WHERE a.value IS NULL OR c.value IS NULL OR a.value <> c.value OR a.tag <> c.tag""",
+    "rule_same_tables": """
+        SELECT 'shuffled' AS pair, TRUE AS is_equal UNION ALL SELECT 'left and right', FALSE""",
+    "collect_locations_sizes": f"""
+        WITH {BOXES},
+        sized AS (
+          SELECT CASE WHEN s_suppkey = 1 THEN -180 ELSE west END AS w,
+            CASE WHEN s_suppkey = 1 THEN -90.0 WHEN s_nationkey % 3 = 0 THEN south ELSE abs(south) END::DOUBLE AS s,
+            CASE WHEN s_suppkey = 1 THEN -179.0 WHEN s_nationkey % 3 = 0 THEN east ELSE (west + 5 || '.01')::DOUBLE END::DOUBLE AS e,
+            CASE WHEN s_suppkey = 1 THEN -89.5 WHEN s_nationkey % 3 = 0 THEN north ELSE abs(south) + 0.01 END::DOUBLE AS n
+          FROM boxes),
+        areas AS (
+          SELECT c_custkey, c_nationkey * 14.0 - 180.0 AS lon, c_acctbal / 125.0 AS lat,
+            CASE WHEN c_custkey % 50 = 0 THEN 400.0 ELSE (c_custkey % 7) / 4.0 END AS size FROM customer)
+        SELECT c_custkey FROM areas
+        WHERE EXISTS (SELECT 1 FROM sized WHERE lon - size <= e AND lon + size >= w AND lat - size <= n AND lat + size >= s)""",
+    "live_rule_counts": """
+        SELECT c_custkey::VARCHAR AS rule_id, count(event_id) AS n
+        FROM customer LEFT JOIN events ON user_id = c_custkey
+          AND epoch_us(ts) // 3600000000 BETWEEN 1706659200000000 // 3600000000 - 240 AND 1706659200000000 // 3600000000
+        GROUP BY c_custkey""",
+    "live_rate_report": "WITH series AS (SELECT event_type AS rule_value, user_id, epoch_us(ts) // 1000000 * 1000000 AS at_us FROM events), "
+    "admitted AS (SELECT * FROM series WHERE user_id % 3 > 0)"
+    + _rates("series", 1_706_659_200_000_000, 20 * 86_400_000_000, ", 'in' AS direction")
+    + " UNION ALL "
+    + _rates("admitted", 1_706_659_200_000_000, 20 * 86_400_000_000, ", 'out' AS direction"),
+    "event_counts_corrected": """
+        SELECT event_type AS key, epoch_us(ts) // 3600000000 * 3600000000 AS window_us, count(*) AS n FROM events GROUP BY ALL""",
+    "recent_by_keyword_live": RECENT_ROWS,
+    "user_table_live": f"WITH {USERS} SELECT userid, screen_name FROM users",
+    "replayed_batches": """
+        SELECT strftime(ts, '%Y.%m.%d') AS part, count(*) AS n FROM events GROUP BY 1 UNION ALL SELECT 'lines', count(*) FROM events""",
+    "metrics_live": """
+        SELECT CASE event_type WHEN 'click' THEN 'collector.src.tweet_process.success' WHEN 'error' THEN 'collector.src.limit.messages.count'
+          WHEN 'view' THEN 'collector.src.twitter.keepalive' ELSE 'collector.src.tweet_process.failure' END AS metric, count(*) AS n
+        FROM events WHERE event_type <> 'signup' GROUP BY 1""",
+    "enrich_events": """
+        WITH lines AS (
+          SELECT *, event_id % 5 AS k, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS iso,
+            CASE event_type WHEN 'click' THEN 'r0' WHEN 'view' THEN 'r1' END AS rule FROM events)
+        SELECT event_id, CASE k WHEN 0 THEN 'limit' WHEN 4 THEN 'other' ELSE 'tweet' END AS message_class,
+          CASE WHEN k = 1 THEN 'created_at' END AS enrichment_error, k IN (0, 4) AS unchanged,
+          CASE k WHEN 3 THEN '77' WHEN 1 THEN '9' WHEN 2 THEN '9' END AS meta_id, CASE WHEN k = 3 THEN user_id::VARCHAR END AS seen,
+          CASE WHEN k IN (2, 3) THEN iso END AS created_at_iso, CASE WHEN k IN (2, 3) THEN rule END AS first_rule,
+          CASE WHEN k IN (2, 3) AND rule IS NULL THEN 'Not Found' END AS rule_tag
+        FROM lines""",
 }

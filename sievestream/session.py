@@ -12,6 +12,8 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
+from sievestream.files import delete
+
 
 def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     builder = (
@@ -59,13 +61,7 @@ def work_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCOPE.reset(token)
         for path in made:
-            delete_folder(spark, path)
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    """Deletes a folder of any file system that Spark reaches; a missing one is fine."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            delete(spark, path)
 
 
 def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:

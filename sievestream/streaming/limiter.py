@@ -6,32 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sievestream.functions import values as V
 from sievestream.operators.limiter import STATE_DDL, Bucket, rate_limit_from
-from sievestream.session import cut_lineage, delete_folder
+from sievestream.session import cut_lineage
+from sievestream.streaming.state import BatchTable
 
 EXPIRATION_SECONDS = 60.0
 
 
-class BucketStore:
-    """The buckets after each micro-batch, as small tables below a folder that all executors share.
-
-    A batch starts from the table of the batch before it and writes its own, so one that runs again after a failure decides the
-    same and overwrites what it had written. The tables of earlier batches are deleted.
-    """
+class BucketStore(BatchTable):
+    """The buckets after each micro-batch."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
-
-    def _path(self, batch_id: int) -> str:
-        return f"{self.folder}/buckets-{batch_id}"
-
-    def before(self, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return self.spark.createDataFrame([], STATE_DDL)
-        return self.spark.read.schema(STATE_DDL).parquet(self._path(batch_id - 1))
-
-    def write(self, state: DataFrame, batch_id: int) -> None:
-        state.write.mode("overwrite").parquet(self._path(batch_id))
-        delete_folder(self.spark, self._path(batch_id - 2))
+        super().__init__(spark, folder, STATE_DDL, "buckets")
 
 
 def limit_batch(
