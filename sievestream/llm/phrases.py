@@ -24,7 +24,9 @@ MAX_FILTER_BITS = 1 << 29
 #: Filters are put together from blocks of this many bits.
 _BLOCK_BITS = 1 << 16
 #: Phrase keys that are counted at once.
-_KEYS = 1_000_000
+_KEYS = 500_000
+#: Rows of a record batch that are looked at together, or handed on together.
+_TEXTS, _ROWS = 256, 50_000
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _IS_BREAK = np.zeros(256, bool)
@@ -128,11 +130,17 @@ def _tallied(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (first, counts) if np.array_equal(checks[first][inverse], checks) else None
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, _TEXTS):
+            yield batch.slice(at, _TEXTS)
+
+
 def _scan(docs: DataFrame, schema: str, work: Callable[[_Words, np.ndarray, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Runs `work` on the words of all texts, with language hash, language and shard of each text of the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             langs = batch.column(0).to_numpy(zero_copy_only=False)
             lang_hash, shards = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for words in _words(batch.column(3).cast(pa.binary()).to_pylist()):
@@ -167,23 +175,24 @@ def _count_members(docs: DataFrame, member: Callable[[list[np.ndarray], np.ndarr
 
 
 def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_count: int) -> DataFrame:
-    """(lang, shard, key): the phrases of `k` words that are frequent in a shard, given a filter of those of k - 1 words."""
+    """(key, shard): the phrases of `k` words that are frequent in a shard, given a filter of those of k - 1 words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, int], list[np.ndarray]] = {}
+        held: dict[tuple[int, int], list[np.ndarray]] = {}
         size = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for (lang, shard), parts in held.items():
+            for (of, shard), parts in held.items():
                 keys, n = np.unique(np.concatenate(parts), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), shard, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)],
-                    names=["lang", "shard", "key", "n"],
-                )
+                for at in range(0, len(keys), _ROWS):
+                    rows = min(_ROWS, len(keys) - at)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(rows, of, np.int64)), pa.array(np.full(rows, shard, np.int32)), pa.array(keys[at : at + rows].view(np.int64)), pa.array(n[at : at + rows])],
+                        names=["lang_hash", "shard", "key", "n"],
+                    )
             held.clear()
 
-        for batch in batches:
-            langs = batch.column(0).to_numpy(zero_copy_only=False)
+        for batch in _parts(batches):
             lang_hash, shards = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for words in _words(batch.column(3).cast(pa.binary()).to_pylist(), 1):
                 hashes, of = _phrase_hashes(words, k), lang_hash[words.text]
@@ -192,22 +201,22 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
                 known = shorter.has(known if k == 2 else _in_shard(known, shards[words.text[: len(known)]]))
                 at = np.flatnonzero(known[:n] & known[1 : n + 1] & (words.piece[:n] == words.piece[k - 1 : k - 1 + n]))
                 keys, texts = mixed(hashes[k][at] ^ of[at]), words.text[at]
-                order = np.argsort(shards[texts], kind="stable")
-                order = order[np.argsort(lang_hash[texts[order]], kind="stable")]
+                order = np.lexsort((lang_hash[texts], shards[texts]))
                 keys, texts = keys[order], texts[order]
-                cuts = np.flatnonzero((np.diff(shards[texts]) != 0) | (np.diff(lang_hash[texts]) != 0)) + 1
+                cuts = np.flatnonzero((np.diff(shards[texts]) != 0) | (lang_hash[texts[1:]] != lang_hash[texts[:-1]])) + 1
                 for lo, hi in zip([0, *cuts], [*cuts, len(keys)]):
                     if hi > lo:
-                        held.setdefault((langs[texts[lo]], int(shards[texts[lo]])), []).append(keys[lo:hi])
+                        held.setdefault((int(lang_hash[texts[lo]].view(np.int64)), int(shards[texts[lo]])), []).append(keys[lo:hi].copy())
                 size += len(keys)
                 if size >= _KEYS:
                     yield from counted()
                     size = 0
         yield from counted()
 
-    local = docs.mapInArrow(run, "lang STRING, shard INT, key LONG, n LONG").groupBy("lang", "shard", "key").agg(F.sum("n").alias("n"))
+    local = docs.mapInArrow(run, "lang_hash LONG, shard INT, key LONG, n LONG").groupBy("lang_hash", "shard", "key").agg(F.sum("n").alias("n"))
     enough = F.col("n").cast("decimal(38,0)") * F.col("n_lang") >= F.lit(min_count).cast("decimal(19,0)") * F.col("n_shard")
-    return local.join(totals, ["lang", "shard"]).where(enough).select("lang", "shard", "key")
+    shares = totals.select(F.xxhash64("lang").alias("lang_hash"), "shard", "n_shard", "n_lang")
+    return local.join(shares, ["lang_hash", "shard"]).where(enough).select("key", "shard")
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
