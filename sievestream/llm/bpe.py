@@ -30,6 +30,9 @@ _COUNTED = 200_000
 #: Characters or tokens that a worker has in hand at once, about; one longer text alone may be more.
 _CHARACTERS = 1_000_000
 
+#: Up to so many bytes a word is merged without a heap.
+_SHORT = 32
+
 _SPACE = re.compile("[ \t\n\r]+")
 
 
@@ -69,9 +72,25 @@ class Merges:
         cut = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
         return [bytes(map(self.byte_of.__getitem__, piece)) for piece, _ in cut]
 
+    def words_of_each(self, texts: Sequence[str]) -> list[list[bytes]]:
+        """words() of many texts without white space, which go through the library joined by blanks: no word reaches over one."""
+        joined = self.library.normalizer.normalize_str(" ".join(texts))
+        parts = joined.split(" ")
+        if len(parts) != len(texts):  # white space of another kind inside
+            return [self.words(text) for text in texts]
+        starts = np.cumsum([0, *(len(p) + 1 for p in parts[:-1])])
+        cut = self.library.pre_tokenizer.pre_tokenize_str(joined)
+        owners = np.searchsorted(starts, [at for _, (at, _) in cut], side="right") - 1
+        out: list[list[bytes]] = [[] for _ in texts]
+        for owner, (piece, _) in zip(owners.tolist(), cut):
+            out[owner].append(piece.encode() if piece.isascii() else bytes(map(self.byte_of.__getitem__, piece)))
+        return out
+
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a word: of all neighbours that can merge the pair of lowest rank does, the leftmost first."""
-        ids = [self.inner[b] for b in word[:-1]] + [self.last[word[-1]]]
+        ids = [*map(self.inner.__getitem__, word[:-1]), self.last[word[-1]]]
+        if len(ids) <= _SHORT:
+            return self._merge_short(ids)
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         waiting = [(*self.ranks[pair], at, pair) for at, pair in enumerate(zip(ids, ids[1:])) if pair in self.ranks]
         waiting = [(rank, at, made, pair) for rank, made, at, pair in waiting]
@@ -93,6 +112,23 @@ class Merges:
                         heapq.heappush(waiting, (rank, left, product, new))
         return tuple(i for i in ids if i >= 0)
 
+    def _merge_short(self, ids: list[int]) -> tuple[int, ...]:
+        """The same for few ids: the best pair is looked for each time."""
+        known, none = self.ranks.get, (len(self.ranks), 0)
+        found = [known(pair, none) for pair in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is none:
+                break
+            at = found.index(best)
+            ids[at : at + 2] = [best[1]]
+            del found[at]
+            if at < len(found):
+                found[at] = known((ids[at], ids[at + 1]), none)
+            if at:
+                found[at - 1] = known((ids[at - 1], ids[at]), none)
+        return tuple(ids)
+
 
 @lru_cache(maxsize=2)
 def _merges(path: str) -> Merges:
@@ -234,16 +270,22 @@ class _Encoder(_Remembering):
         self.merges, self.transducer = _merges(path), Transducer(lexicon)
 
     def encode(self, pieces: list[str]) -> list[bytes]:
-        parts: list[list] = []  # of each piece: words, or ids of special strings
-        for piece in pieces:
-            spans = self.merges.specials.split(piece) if self.merges.specials else [piece]
-            parts.append([x for span in spans for x in ([self.merges.special[span]] if span in self.merges.special else self.merges.words(span) if span else [])])
+        merges = self.merges
+        parts: list[list] = merges.words_of_each(pieces)  # of each piece: words, or ids of special strings
+        if merges.specials and merges.specials.search(" ".join(pieces)):
+            for at, piece in enumerate(pieces):
+                spans = merges.specials.split(piece)
+                if len(spans) > 1:
+                    parts[at] = [x for span in spans for x in ([merges.special[span]] if span in merges.special else merges.words(span))]
         words = list({x for part in parts for x in part if isinstance(x, bytes)})
         ids = dict(zip(words, self.transducer.look_up(words)))
         for word, known in ids.items():
             if known is None:
-                ids[word] = self.merges.merge(word)
-        return [np.array([i for x in part for i in (ids[x] if isinstance(x, bytes) else (x,))], "<i4").tobytes() for part in parts]
+                ids[word] = merges.merge(word)
+        flat = [ids[part[0]] if len(part) == 1 and isinstance(part[0], bytes) else [i for x in part for i in (ids[x] if isinstance(x, bytes) else (x,))] for part in parts]
+        data = np.array([i for part in flat for i in part], "<i4").tobytes()
+        ends = np.cumsum([0, *map(len, flat)]).tolist()
+        return [data[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
 
     def ids(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
