@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sievestream.llm.common import cut_lineage
-from sievestream.llm.text_arrays import mixed, run_hashes, runs, windows
+from sievestream.llm.text_arrays import mixed, parts, run_hashes, runs, windows
 
 MIN_COUNT = 100
 LONGEST = 5
@@ -25,8 +25,8 @@ MAX_FILTER_BITS = 1 << 29
 _BLOCK_BITS = 1 << 16
 #: Phrase keys that are counted at once.
 _KEYS = 500_000
-#: Rows of a record batch that are looked at together, or handed on together.
-_TEXTS, _ROWS = 256, 50_000
+#: Rows of a record batch that are handed on together.
+_ROWS = 50_000
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _IS_BREAK = np.zeros(256, bool)
@@ -130,17 +130,11 @@ def _tallied(keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (first, counts) if np.array_equal(checks[first][inverse], checks) else None
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at in range(0, batch.num_rows, _TEXTS):
-            yield batch.slice(at, _TEXTS)
-
-
 def _scan(docs: DataFrame, schema: str, work: Callable[[_Words, np.ndarray, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Runs `work` on the words of all texts, with language hash, language and shard of each text of the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
+        for batch in parts(batches):
             langs = batch.column(0).to_numpy(zero_copy_only=False)
             lang_hash, shards = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for words in _words(batch.column(3).cast(pa.binary()).to_pylist()):
@@ -182,8 +176,8 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
         size = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for (of, shard), parts in held.items():
-                keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            for (of, shard), found in held.items():
+                keys, n = np.unique(np.concatenate(found), return_counts=True)
                 for at in range(0, len(keys), _ROWS):
                     rows = min(_ROWS, len(keys) - at)
                     yield pa.RecordBatch.from_arrays(
@@ -192,7 +186,7 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
                     )
             held.clear()
 
-        for batch in _parts(batches):
+        for batch in parts(batches):
             lang_hash, shards = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for words in _words(batch.column(3).cast(pa.binary()).to_pylist(), 1):
                 hashes, of = _phrase_hashes(words, k), lang_hash[words.text]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes of text that are taken apart at once.
 WINDOW = 1 << 20
@@ -48,26 +49,33 @@ def run_hashes(raw: np.ndarray, inside: np.ndarray, start: np.ndarray, end: np.n
     return out
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Record batches in slices of a few rows, so that only their texts are turned into Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def windows(texts: Sequence[bytes], cut: Callable[[bytes, int], int], size: int | None = None) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
     """Texts joined by line feeds to about `size` bytes: the bytes, the start of each part, and the place of its text.
 
     A longer text is cut into parts where `cut(text, from)` says: the first end of a part at or after `from`.
     """
     size = size or WINDOW
-    parts, places, held = [], [], 0
+    own, places, held = [], [], 0
     for place, text in enumerate(texts):
         at = 0
         while at < len(text):
             stop = cut(text, at + size) if len(text) - at > size else len(text)
-            parts.append(text[at:stop])
+            own.append(text[at:stop])
             places.append(place)
             held += stop - at
             at = stop
             if held >= size:
-                yield _joined(parts, places)
-                parts, places, held = [], [], 0
-    if parts:
-        yield _joined(parts, places)
+                yield _joined(own, places)
+                own, places, held = [], [], 0
+    if own:
+        yield _joined(own, places)
 
 
 def _joined(parts: list[bytes], places: list[int]) -> tuple[bytes, np.ndarray, np.ndarray]:

@@ -13,7 +13,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
 from sievestream.llm.common import crc_mod, cut_lineage, text_mark
-from sievestream.llm.text_arrays import run_hashes, runs, windows
+from sievestream.llm.text_arrays import parts, run_hashes, runs, windows
 
 #: Words that insult, by kind; the lists only make features, the labels decide what they weigh.
 INSULTS = "airhead bozo buffoon clown coward creep cretin dimwit dolt dope dork dullard dumb dunce fool freak halfwit idiot ignoramus imbecile jerk liar loser lunatic moron nitwit numbskull oaf pig psycho rat scumbag simpleton slob snake stupid thug twit weasel wimp".split()
@@ -222,7 +222,7 @@ def learn_lexicons(rows: DataFrame, max_entries: int = MAX_LEXICON) -> list[Lexi
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             groups = 2 * batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64) + (batch.column(1).to_numpy(zero_copy_only=False) > 0)
             texts = [(t or "").lower().encode() for t in batch.column(0).to_pylist()]
             for data, starts, places in windows(texts, _after_gap):
@@ -253,13 +253,13 @@ def learn_lexicons(rows: DataFrame, max_entries: int = MAX_LEXICON) -> list[Lexi
         all_toxic, all_clean = (sum(sizes[2 * h + g] for h in halves) for g in (1, 0))
         weight = F.log((toxic + 0.5) / (all_toxic + 1)) - F.log((clean + 0.5) / (all_clean + 1))
         weighed = counted.withColumn("weight", weight).where((toxic >= MIN_TOXIC) & (F.col("weight") >= MIN_WEIGHT)).withColumn("worth", F.col("weight") * toxic)
-        parts = []
+        learned = []
         for kind in (0, 1):
             best = weighed.where(F.col("kind") == kind).orderBy(F.desc("worth"), "key").limit(max_entries).collect()
             keys = np.array([r["key"] for r in best], np.int64).view(np.uint64)
             order = np.argsort(keys)
-            parts += [keys[order], np.array([r["weight"] for r in best])[order]]
-        out.append(Lexicon(*parts) if all_toxic and all_clean else NO_LEXICON)
+            learned += [keys[order], np.array([r["weight"] for r in best])[order]]
+        out.append(Lexicon(*learned) if all_toxic and all_clean else NO_LEXICON)
     return out
 
 
@@ -269,9 +269,9 @@ def _featured(texts: DataFrame, lexicon: Lexicon) -> DataFrame:
     place = texts.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             values = [t or "" for t in batch.column(place).to_pylist()]
-            rows = dense_features(values, shared.value) if values else np.empty((0, len(FEATURES)))
+            rows = dense_features(values, shared.value)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * len(FEATURES), pa.int32()), pa.array(rows.reshape(-1)))
             columns = [lists if i == place else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
