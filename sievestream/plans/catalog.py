@@ -140,7 +140,7 @@ def match_userid_joins(spark, sf):
 @query
 def match_username(spark, sf):
     conversations = D.table(spark, sf, "conversations")
-    rules = conversations.select(F.upper("role").alias("value")).distinct().where("value <> 'SYSTEM'")
+    rules = conversations.select(F.upper("role").alias("value")).distinct()
     rules = rules.select("value", F.col("value").alias("rule_id"), F.lit("username").alias("orig_type"))
     content = conversations.select(
         F.concat_ws("/", "conv_id", "turn").alias("row_id"),
@@ -766,10 +766,10 @@ def log_metrics(spark, sf):
 
 @query
 def metrics_gauges(spark, sf):
-    events = D.table(spark, sf, "events").where("event_type = 'error'").select(
-        "ts", F.lit("limit_message_count").alias("event"), "value", F.col("user_id").alias("instance_id")
-    )
-    return A.gauges(events, A.metric_names("collector"), "instance_id")
+    named = F.when(F.col("event_type") == "error", "limit_message_count").otherwise(F.col("event_type"))
+    events = D.table(spark, sf, "events").select("ts", named.alias("event"), "value", F.col("user_id").alias("instance_id"))
+    more = {kind: f"collector.src.{kind}" for kind in ("click", "view", "signup", "purchase")}
+    return A.gauges(events, A.metric_names("collector", more), "instance_id")
 
 
 def _matched_documents(spark, sf):

@@ -239,7 +239,7 @@ ORACLE: dict[str, str] = {
     "match_userid": USERID_LONG,
     "match_userid_joins": USERID_LONG,
     "match_username": """
-        SELECT conv_id || '/' || turn AS row_id, upper(role) AS rule_id FROM conversations WHERE upper(role) <> 'SYSTEM'""",
+        SELECT conv_id || '/' || turn AS row_id, upper(role) AS rule_id FROM conversations""",
     "match_hashtag": HASHTAG_LONG,
     "match_hashtag_joins": HASHTAG_LONG,
     "match_locations": f"""
@@ -446,8 +446,9 @@ ORACLE: dict[str, str] = {
           CASE event_type WHEN 'view' THEN 'src.twitter.keepalive' ELSE 'src.limit.messages.count' END AS metric, count(*) AS n
         FROM events WHERE event_type IN ('view', 'error') GROUP BY ALL""",
     "metrics_gauges": """
-        SELECT 'collector.src.limit.current_limited' AS metric, user_id AS instance_id, arg_max(value, ts) AS value
-        FROM events WHERE event_type = 'error' GROUP BY user_id""",
+        SELECT 'collector.src.' || CASE event_type WHEN 'error' THEN 'limit.current_limited' ELSE event_type END AS metric,
+          user_id AS instance_id, arg_max(value, (ts, value)) AS value
+        FROM events GROUP BY ALL""",
     "limit_keys": f"WITH {ENRICHED_PAIRS} SELECT DISTINCT doc_id, lower(value) AS rule_value FROM pairs",
     "rate_limit": LIMITED_ROWS,
     "rate_limit_stream": LIMITED_ROWS,
