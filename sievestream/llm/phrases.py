@@ -24,9 +24,9 @@ MAX_FILTER_BITS = 1 << 29
 #: Filters are put together from blocks of this many bits.
 _BLOCK_BITS = 1 << 16
 #: Phrase keys that are counted at once.
-_KEYS = 500_000
-#: Rows of a record batch that are handed on together.
-_ROWS = 50_000
+_KEYS = 1_000_000
+#: Words of all texts for each part of the keys, at most: one task adds up a part in memory.
+_WORDS_OF_A_PART = 4_000_000
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _IS_BREAK = np.zeros(256, bool)
@@ -168,8 +168,11 @@ def _count_members(docs: DataFrame, member: Callable[[list[np.ndarray], np.ndarr
     return counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f"))
 
 
-def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_count: int) -> DataFrame:
-    """(key, shard): the phrases of `k` words that are frequent in a shard, given a filter of those of k - 1 words."""
+def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_count: int, n_parts: int) -> DataFrame:
+    """(key, shard): the phrases of `k` words that are frequent in a shard, given a filter of those of k - 1 words.
+
+    Tasks count what they hold and hand on packed columns of keys and counts, by language, shard and part of the keys; each part is added up by one task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list[np.ndarray]] = {}
@@ -178,12 +181,16 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
         def counted() -> Iterator[pa.RecordBatch]:
             for (of, shard), found in held.items():
                 keys, n = np.unique(np.concatenate(found), return_counts=True)
-                for at in range(0, len(keys), _ROWS):
-                    rows = min(_ROWS, len(keys) - at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(rows, of, np.int64)), pa.array(np.full(rows, shard, np.int32)), pa.array(keys[at : at + rows].view(np.int64)), pa.array(n[at : at + rows])],
-                        names=["lang_hash", "shard", "key", "n"],
-                    )
+                part = (mixed(keys ^ np.uint64(0x2545F491)) % np.uint64(n_parts)).astype(np.int32)
+                order = np.argsort(part, kind="stable")
+                keys, n, part = keys[order], n[order].astype("<i8"), part[order]
+                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+                spans = list(zip(cuts, cuts[1:]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[cuts[:-1]]), pa.array(np.full(len(spans), of, np.int64)), pa.array(np.full(len(spans), shard, np.int32)),
+                     pa.array([keys[lo:hi].tobytes() for lo, hi in spans], pa.binary()), pa.array([n[lo:hi].tobytes() for lo, hi in spans], pa.binary())],
+                    names=["part", "lang_hash", "shard", "keys", "counts"],
+                )
             held.clear()
 
         for batch in parts(batches):
@@ -207,10 +214,26 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
                     size = 0
         yield from counted()
 
-    local = docs.mapInArrow(run, "lang_hash LONG, shard INT, key LONG, n LONG").groupBy("lang_hash", "shard", "key").agg(F.sum("n").alias("n"))
-    enough = F.col("n").cast("decimal(38,0)") * F.col("n_lang") >= F.lit(min_count).cast("decimal(19,0)") * F.col("n_shard")
-    shares = totals.select(F.xxhash64("lang").alias("lang_hash"), "shard", "n_shard", "n_lang")
-    return local.join(shares, ["lang_hash", "shard"]).where(enough).select("key", "shard")
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int, int], list[tuple[bytes, bytes]]] = {}
+        for batch in batches:
+            for of, shard, need, keys, counts in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                held.setdefault((of, shard, need), []).append((keys, counts))
+        while held:
+            (_, shard, need), packed = held.popitem()
+            keys, n = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*packed), (np.uint64, np.int64)))
+            order = np.argsort(keys, kind="stable")
+            keys, n = keys[order], n[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            frequent = keys[first[np.add.reduceat(n, first) >= need]]
+            yield pa.RecordBatch.from_arrays([pa.array(frequent.view(np.int64)), pa.array(np.full(len(frequent), shard, np.int32))], names=["key", "shard"])
+
+    packed = docs.mapInArrow(run, "part INT, lang_hash LONG, shard INT, keys BINARY, counts BINARY")
+    # frequent: n * n_lang >= min_count * n_shard
+    need = F.expr(f"(CAST({int(min_count)} AS DECIMAL(18,0)) * n_shard + n_lang - 1) div n_lang").cast("long")
+    shares = totals.select(F.xxhash64("lang").alias("lang_hash"), "shard", need.alias("need"))
+    met = packed.join(shares, ["lang_hash", "shard"]).select("lang_hash", "shard", "need", "keys", "counts", "part")
+    return met.repartition(n_parts, "part").mapInArrow(add_up, "key LONG, shard INT")
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
@@ -232,9 +255,11 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     singles = counted.where("words > 0")
     by_shard = counted.where("words < 0").select("lang", (-1 - F.col("words")).alias("shard"), F.col("f").alias("n_shard"))
     totals = cut_lineage(by_shard.join(by_shard.groupBy("lang").agg(F.sum("n_shard").alias("n_lang")), "lang"), "phrases-shards")
+    words = totals.agg(F.sum("n_shard")).first()[0] or 0
+    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // _WORDS_OF_A_PART)
     shorter, found = _filter(_keys_of(singles)), []
     for k in range(2, longest + 1):
-        frequent = cut_lineage(_mine(rows, k, shorter, totals, min_count), f"phrases-{k}")
+        frequent = cut_lineage(_mine(rows, k, shorter, totals, min_count, n_parts), f"phrases-{k}")
         found.append(frequent)
         if k < longest:
             shorter = _filter(_shard_keys(frequent))
