@@ -15,8 +15,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of likeness 0.8 or more stays."""
-    return simhash.alike_representatives(docs)
+    """One document of each group stays: fingerprints of three-word shingles at most three bits apart, as op6 links them."""
+    return simhash.representatives(docs, queries.SIMHASH_SHINGLE)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

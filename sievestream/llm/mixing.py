@@ -43,6 +43,11 @@ def mix(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: str
     size). Documents without words come along whenever their place in the order is in. Repeated rows are rows of their own;
     rows equal in text and id are sampled in any order. An empty table gives no rows.
     """
+    return _mixed(docs, weights, max_epochs, seed, text, key, source).drop("_text")
+
+
+def _mixed(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: str, text: str, key: str, source: str) -> DataFrame:
+    """mix() with the digest of each row's text as `_text`."""
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     identity = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("")))
     rows = cut_lineage(
@@ -68,14 +73,25 @@ def mix(docs: DataFrame, weights: Sequence[float], max_epochs: float, seed: str
         placed.join(starts, placed["source"].eqNullSafe(starts["_source"]))
         .withColumn("_share", share)
         .withColumn("copies", (F.floor("_share") + F.when(middle < part, 1).otherwise(0)).cast("long"))
-        .select(key, "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        .select(key, "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "_text")
     )
 
 
-def repeated(docs: DataFrame, weights: Sequence[float], max_epochs: float, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it. Rows that share a key share its copies, rounded up."""
-    copies = mix(docs, weights, max_epochs, text=text, key=key, source=source).groupBy(F.col(key).alias("_key"))
-    copies = copies.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0").withColumnRenamed("_key", "_id")
-    joined = docs.select(F.col(key).alias("_key"), F.struct(*docs.columns).alias("_doc")).join(copies, F.col("_key").eqNullSafe(F.col("_id")))
-    share = F.ceil(F.col("_copies") / F.col("_rows")).cast("int")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), share))).select("_doc.*")
+def repeated(docs: DataFrame, weights: Sequence[float], max_epochs: float, text: str = "text", key: str = "doc_id", source: str = "source", seed: str = "mix") -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it.
+
+    A row is known by its key and text. Of rows equal in both the copies are dealt evenly, the first of them one more where they don't come out even; so the result
+    has as many rows as mix() has copies. Columns may have any name.
+    """
+    copies = _mixed(docs, weights, max_epochs, seed, text, key, source).groupBy(F.col(key).alias("_id"), F.col("_text").alias("_mark_taken"))
+    copies = cut_lineage(copies.agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows")).where("_copies > 0"), "mix-copies")
+    rows = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_mark"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"))
+    joined = rows.join(copies, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_mark_taken"))).select("_key", "_mark", "_doc", "_copies", "_rows")
+    alone = joined.where("_rows = 1").select("_doc", F.col("_copies").alias("_share"))
+    numbered = in_order(joined.where("_rows > 1"), ["_key", "_mark"], None, "mix-equal").drop("_before")
+    first = numbered.groupBy(F.col("_key").alias("_id"), F.col("_mark").alias("_mark_taken")).agg(F.min("_idx").alias("_first"))
+    equal = numbered.join(first, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_mark_taken")))
+    more = (F.col("_idx") - F.col("_first") < F.col("_copies") % F.col("_rows")).cast("long")
+    equal = equal.select("_doc", (F.floor(F.col("_copies") / F.col("_rows")) + more).alias("_share")).where("_share > 0")
+    dealt = alone.unionByName(equal).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_share")))
+    return dealt.select("_doc.*")

@@ -12,6 +12,7 @@ SHARDS = 8
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEQUENCE = 2048
+SIMHASH_SHINGLE = 3
 TOKEN_LIMIT = 2048
 
 
@@ -45,7 +46,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3)
+    return simhash.near_duplicates(_documents(spark, sf_dir), SIMHASH_SHINGLE)
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

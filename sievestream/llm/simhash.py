@@ -10,7 +10,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sievestream.llm import paragraphs
 from sievestream.llm.common import WORD, ascii_lower, components, cut_lineage, text_mark
 
 _WORDS = re.compile(WORD.encode())
@@ -116,39 +115,3 @@ def first_of_groups(docs: DataFrame, members: DataFrame, text: str, key: str) ->
     found = rows.join(kept, F.col("_key").eqNullSafe(F.col("kept_key")) & (F.col("_mark") == F.col("kept_mark")))
     repeated = found.where("n > 1").dropDuplicates(["_key", "_mark"])
     return found.where("n = 1").select("_doc.*").union(repeated.select("_doc.*"))
-
-
-def _digests() -> F.Column:
-    """Of the lower-case text: digest of its words (0 without any), their number, and the hash of each MinHash band."""
-    names = [f"band{b}" for b in range(paragraphs.BANDS)]
-
-    @F.pandas_udf("digest LONG, words INT, " + ", ".join(f"{n} LONG" for n in names))
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in texts:
-            parts = []
-            for begin in range(0, len(batch), paragraphs.ROWS):
-                hashes, sizes = paragraphs._word_hashes(batch.iloc[begin : begin + paragraphs.ROWS].tolist())
-                out, some = np.zeros((len(sizes), 2 + len(names)), np.int64), sizes > 0
-                if some.any():
-                    digest, bands = paragraphs._banded(hashes, (np.cumsum(sizes) - sizes)[some], sizes[some])
-                    out[some] = np.column_stack([digest.view(np.int64), sizes[some], *(b.view(np.int64) for b in bands)])
-                parts.append(out)
-            whole = np.concatenate(parts) if parts else np.zeros((0, 2 + len(names)), np.int64)
-            yield pd.DataFrame(whole, columns=["digest", "words", *names]).astype({"words": np.int32})
-
-    return of("text")
-
-
-def alike_representatives(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of `docs` for each component of texts whose five-word shingles have Jaccard likeness 0.8 or more, picked as in representatives().
-
-    Fingerprints 3 bits apart miss most such pairs, and a radius that finds them leaves too few bits to join on. So
-    candidates come from MinHash bands, which a pair at 0.8 shares with probability 0.986, and each is verified exactly. Texts of equal
-    words are alike, those below five words with equal ones only.
-    """
-    rows = docs.select(F.col(key).alias("_key"), text_mark(text), ascii_lower(F.coalesce(F.col(text), F.lit(""))).alias("text")).withColumn("row", F.xxhash64("_key", "text"))
-    found = cut_lineage(rows.select("_key", "_mark", "row", _digests().alias("at")).select("_key", "_mark", "row", "at.*"), "simhash-texts")
-    distinct = found.where(F.col("words") >= paragraphs.SHINGLE).drop("_key", "_mark").withColumn("word", F.lit(0)).dropDuplicates(["digest"])
-    groups = components(paragraphs._near(cut_lineage(distinct, "simhash-distinct"), rows.select("row", "text")), "simhash-components")
-    members = found.join(groups.withColumnRenamed("node", "digest"), "digest", "left").select("_key", "_mark", F.coalesce("component", "digest").alias("group"))
-    return first_of_groups(docs, members, text, key)

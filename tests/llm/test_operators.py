@@ -428,20 +428,21 @@ def test_stages_decide_by_row(spark, monkeypatch):
     assert sorted(map(tuple, left.collect()), key=str) == sorted([r for r in rows if "alone" not in (r[1] or "")], key=str)
 
 
-def test_near_copies_leave_the_corpus(spark):
-    rng = np.random.default_rng(41)
-    rows, alike = [], 0
-    for i in range(200):
-        n, edits = [(100, 1), (100, 2), (300, 3), (300, 6)][i % 4]
-        base = [f"w{x}" for x in rng.integers(0, 50_000, n)]
-        other = list(base)
-        for at in rng.choice(n, edits, replace=False):
-            other[at] = "new"
-        x, y = ({tuple(w[k : k + 5]) for k in range(n - 4)} for w in (base, other))
-        alike += len(x & y) / len(x | y) >= 0.8
-        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
-    rows += [(1000, "a few words"), (1001, "A few  words"), (1002, "a few more"), (1003, None), (1004, "")]
-    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
-    left = {r["doc_id"] for r in simhash.alike_representatives(docs).collect()}
-    assert {2 * i for i in range(200)} | {1000, 1002, 1003} <= left and not left & {1001, 1004}
-    assert 0.95 * alike <= len(rows) - 2 - len(left) <= alike
+def test_copies_of_rows_that_share_a_key(spark):
+    """A key with several texts, rows that are there several times: as many rows as mix() has copies, each by its own row."""
+    rows = [(i % 30, f"text {i} " + "w " * (i % 9), "abc"[i % 3], i) for i in range(120)] + [(5, "same same", "a", 7)] * 5 + [(None, "no key", "b", 8), (6, None, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, source STRING, `a.b` INT").repartition(4)
+    mixed = mixing._mixed(docs, (5, 2, 1), 3, "mix", "text", "doc_id", "source").groupBy("doc_id", "_text").agg({"copies": "sum"})
+    want = {(r["doc_id"], r["_text"]): r["sum(copies)"] for r in mixed.collect() if r["sum(copies)"]}
+    got = Counter((r["doc_id"], r["mark"]) for r in mixing.repeated(docs, (5, 2, 1), 3).select("doc_id", common.F.xxhash64("text").alias("mark"), "`a.b`").collect())
+    assert got == want
+    assert mixing.repeated(docs.limit(0), (5, 2, 1), 3).collect() == []
+
+
+def test_the_pipeline_drops_near_copies_as_op6_links_them(spark, odd, none):
+    import corpus_pipeline
+
+    kept = corpus_pipeline.drop_near_duplicates(spark, odd, "")
+    linked_ids = {r["component_id"] for r in simhash.near_duplicates(odd, 3).collect()}
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == linked_ids and kept.count() == len(linked_ids)
+    assert corpus_pipeline.drop_near_duplicates(spark, none, "").collect() == []
