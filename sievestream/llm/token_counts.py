@@ -7,8 +7,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.utils import AnalysisException
 
+from sievestream.files import exists
 from sievestream.llm.common import cut_lineage
 from sievestream.llm.tokens import WordCounts, loaded
 
@@ -44,10 +44,7 @@ def count_tokens(docs: DataFrame, cache: str, path: str, text: str = "text", key
     rows = cut_lineage(digested.drop("content"), "token-rows")
 
     def stored() -> DataFrame:
-        try:
-            known = spark.read.schema(CACHE_DDL).parquet(cache)
-        except AnalysisException:  # no cache yet
-            known = spark.createDataFrame([], CACHE_DDL)
+        known = spark.read.schema(CACHE_DDL).parquet(cache) if exists(spark, cache) else spark.createDataFrame([], CACHE_DDL)
         return known.where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     misses = digested.select("digest", "content").join(stored(), "digest", "left_anti").dropDuplicates(["digest"])
