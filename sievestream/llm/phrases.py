@@ -26,7 +26,7 @@ _BLOCK_BITS = 1 << 16
 #: Phrase keys that are counted at once.
 _KEYS = 1_000_000
 #: Words of all texts for each part of the keys, at most: one task adds up a part in memory.
-_WORDS_OF_A_PART = 4_000_000
+_WORDS_OF_A_PART, _FEW_PARTS = 2_000_000, 8
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _IS_BREAK = np.zeros(256, bool)
@@ -171,7 +171,7 @@ def _count_members(docs: DataFrame, member: Callable[[list[np.ndarray], np.ndarr
 def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_count: int, n_parts: int) -> DataFrame:
     """(key, shard): the phrases of `k` words that are frequent in a shard, given a filter of those of k - 1 words.
 
-    Tasks count what they hold and hand on packed columns of keys and counts, by language, shard and part of the keys; each part is added up by one task.
+    Tasks count what they hold and hand on packed columns of keys, counts and shards, by language and part of the keys; each part is added up by one task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,18 +179,17 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
         size = 0
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for (of, shard), found in held.items():
-                keys, n = np.unique(np.concatenate(found), return_counts=True)
+            for lang in {of for of, _ in held}:
+                own = [(shard, *np.unique(np.concatenate(found), return_counts=True)) for (of, shard), found in held.items() if of == lang]
+                shard = np.concatenate([np.full(len(keys), s, "<i4") for s, keys, _ in own])
+                keys, n = (np.concatenate([x[i] for x in own]) for i in (1, 2))
                 part = (mixed(keys ^ np.uint64(0x2545F491)) % np.uint64(n_parts)).astype(np.int32)
                 order = np.argsort(part, kind="stable")
-                keys, n, part = keys[order], n[order].astype("<i8"), part[order]
-                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+                part, columns = part[order], [c[order] for c in (keys, n.astype("<i8"), shard)]
+                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
                 spans = list(zip(cuts, cuts[1:]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[cuts[:-1]]), pa.array(np.full(len(spans), of, np.int64)), pa.array(np.full(len(spans), shard, np.int32)),
-                     pa.array([keys[lo:hi].tobytes() for lo, hi in spans], pa.binary()), pa.array([n[lo:hi].tobytes() for lo, hi in spans], pa.binary())],
-                    names=["part", "lang_hash", "shard", "keys", "counts"],
-                )
+                packed = [pa.array([c[lo:hi].tobytes() for lo, hi in spans], pa.binary()) for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), pa.array(np.full(len(spans), lang, np.int64)), *packed], names=["part", "lang_hash", "keys", "counts", "shards"])
             held.clear()
 
         for batch in parts(batches):
@@ -215,24 +214,26 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
         yield from counted()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int, int], list[tuple[bytes, bytes]]] = {}
+        held: dict[tuple[int, tuple[int, ...]], list[tuple[bytes, ...]]] = {}
         for batch in batches:
-            for of, shard, need, keys, counts in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                held.setdefault((of, shard, need), []).append((keys, counts))
+            for lang, needs, *packed in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                held.setdefault((lang, tuple(needs)), []).append(tuple(packed))
         while held:
-            (_, shard, need), packed = held.popitem()
-            keys, n = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*packed), (np.uint64, np.int64)))
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], n[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            frequent = keys[first[np.add.reduceat(n, first) >= need]]
-            yield pa.RecordBatch.from_arrays([pa.array(frequent.view(np.int64)), pa.array(np.full(len(frequent), shard, np.int32))], names=["key", "shard"])
-
-    packed = docs.mapInArrow(run, "part INT, lang_hash LONG, shard INT, keys BINARY, counts BINARY")
-    # frequent: n * n_lang >= min_count * n_shard
+            (_, needs), packed = held.popitem()
+            keys, n, shard = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*packed), (np.uint64, np.int64, np.int32)))
+            order = np.lexsort((keys, shard))
+            keys, n, shard = keys[order], n[order], shard[order]
+            first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])]))
+            frequent = first[np.add.reduceat(n, first) >= np.array(needs)[shard[first]]]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[frequent].view(np.int64)), pa.array(shard[frequent])], names=["key", "shard"])
+
+    packed = docs.mapInArrow(run, "part INT, lang_hash LONG, keys BINARY, counts BINARY, shards BINARY")
+    # frequent: n * n_lang >= min_count * n_shard; a shard without words needs nothing, for it has nothing
     need = F.expr(f"(CAST({int(min_count)} AS DECIMAL(18,0)) * n_shard + n_lang - 1) div n_lang").cast("long")
-    shares = totals.select(F.xxhash64("lang").alias("lang_hash"), "shard", need.alias("need"))
-    met = packed.join(shares, ["lang_hash", "shard"]).select("lang_hash", "shard", "need", "keys", "counts", "part")
+    by_shard = F.map_from_entries(F.collect_list(F.struct("shard", need)))
+    needs = totals.groupBy(F.xxhash64("lang").alias("lang_hash")).agg(by_shard.alias("m"))
+    needs = needs.select("lang_hash", F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("m"))), lambda s: F.coalesce(F.element_at("m", s), F.lit(0).cast("long"))).alias("needs"))
+    met = packed.join(needs, "lang_hash").select("lang_hash", "needs", "keys", "counts", "shards", "part")
     return met.repartition(n_parts, "part").mapInArrow(add_up, "key LONG, shard INT")
 
 
@@ -245,7 +246,6 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     counted by their text over all documents. Between passes only filters go round, of bounded size: they let pass too much, never too little,
     as do equal hashes of different phrases.
     """
-    spark = docs.sparkSession
     language = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
     rows = docs.select(
         language.alias("lang"), F.xxhash64(language).alias("lang_hash"), F.pmod(F.xxhash64(F.lit("shard"), F.col(text)), shards).cast("int").alias("shard"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -256,7 +256,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     by_shard = counted.where("words < 0").select("lang", (-1 - F.col("words")).alias("shard"), F.col("f").alias("n_shard"))
     totals = cut_lineage(by_shard.join(by_shard.groupBy("lang").agg(F.sum("n_shard").alias("n_lang")), "lang"), "phrases-shards")
     words = totals.agg(F.sum("n_shard")).first()[0] or 0
-    n_parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), words // _WORDS_OF_A_PART)
+    n_parts = max(_FEW_PARTS, -(-words // _WORDS_OF_A_PART))
     shorter, found = _filter(_keys_of(singles)), []
     for k in range(2, longest + 1):
         frequent = cut_lineage(_mine(rows, k, shorter, totals, min_count, n_parts), f"phrases-{k}")
