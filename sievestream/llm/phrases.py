@@ -23,10 +23,10 @@ FILTER_BITS = 16
 MAX_FILTER_BITS = 1 << 29
 #: Filters are put together from blocks of this many bits.
 _BLOCK_BITS = 1 << 16
-#: Phrase keys that are counted at once.
-_KEYS = 1_000_000
+#: Phrase keys that are counted at once, and bytes of text that are taken apart at once: with the JVM's share two workers have to fit an executor.
+_KEYS, _WINDOW = 250_000, 1 << 18
 #: Words of all texts for each part of the keys, at most: one task adds up a part in memory.
-_WORDS_OF_A_PART, _FEW_PARTS = 2_000_000, 8
+_WORDS_OF_A_PART, _FEW_PARTS = 1_000_000, 8
 
 _BREAK = re.compile(rb"[.,;:!?\n-\r]")
 _IS_BREAK = np.zeros(256, bool)
@@ -58,7 +58,7 @@ def _after_break(text: bytes, at: int) -> int:
 
 
 def _words(texts: list[bytes], hashes: int = 2) -> Iterator[_Words]:
-    for data, starts, places in windows(texts, _after_break):
+    for data, starts, places in windows(texts, _after_break, _WINDOW):
         data = data.translate(_LOWER)
         raw = np.frombuffer(data, np.uint8)
         inside = ~_IS_GAP[raw]
