@@ -41,11 +41,15 @@ def run_hashes(raw: np.ndarray, inside: np.ndarray, start: np.ndarray, end: np.n
     first = np.cumsum(length) - length
     position = np.arange(first[-1] + length[-1], dtype=np.int32) - np.repeat(first.astype(np.int32), length)
     entry = ((position & (_PLACES - 1)) << 8) | raw[inside]
-    beyond = (position >> 6).astype(np.uint64) * np.uint64(2) + np.uint64(1) if length.max() > _PLACES else None
+    # only bytes beyond the places, so that a run has one hash whatever other runs lie beside it
+    far = np.flatnonzero(position >= _PLACES) if length.max() > _PLACES else position[:0]
+    beyond = (position[far] >> 6).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     out = []
     for table in _TABLES[:n]:
         given = table[entry]
-        out.append(np.add.reduceat(given if beyond is None else mixed(given * beyond), first))
+        if len(far):
+            given[far] = mixed(given[far] * beyond)
+        out.append(np.add.reduceat(given, first))
     return out
 
 

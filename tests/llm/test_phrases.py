@@ -58,6 +58,22 @@ def test_equals_a_plain_count(spark, texts, shards, min_count, top):
     assert got == plain(texts, min_count, top) and got
 
 
+def test_words_beside_long_ones_count_as_elsewhere(spark):
+    """A word of more than 64 bytes changes nothing for the other words of its window."""
+    rows = [("en", f"strong tea with milk. {'h' * (200 if i == 7 else 3)} at the end") for i in range(60)]
+    rows += [("de", "x" * 64 + " a b. " + "y" * 65 + " a b")] * 30
+    docs = spark.createDataFrame(rows, "lang STRING, text STRING").repartition(6)
+    got = rows_of(phrases.collocations(docs, min_count=60, shards=4))
+    assert got == plain(rows, 60, 2000) and got
+
+
+def test_a_word_has_one_hash_wherever_it_lies():
+    alone = next(phrases._words([b"tea"]))
+    beside = next(phrases._words([b"tea " + b"h" * 65 + b" " + b"h" * 129 + b" " + b"h" * 64 + b"g" + b"h" * 64]))
+    assert (alone.hash[0], alone.check[0]) == (beside.hash[0], beside.check[0])
+    assert len(set(beside.hash.tolist())) == 4
+
+
 def test_long_texts_are_cut_between_pieces_only(spark, monkeypatch):
     monkeypatch.setattr(text_arrays, "WINDOW", 300)
     rng = random.Random(9)
