@@ -17,6 +17,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, target = _located(spark, path)
+    return system.exists(target) and system.getFileStatus(target).isDirectory()
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of a small file, None where there is none."""
     system, target = _located(spark, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from sievestream.files import is_folder
 from sievestream.functions import values as V
 
 EPOCH_2024 = 1_704_067_200
@@ -23,7 +24,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    schema = table(spark, sf_dir, name).schema
+    """A table as a stream of its files, whether it is one file or a folder of them."""
+    schema, path = table(spark, sf_dir, name).schema, f"{sf_dir}/{name}.parquet"
+    if is_folder(spark, path):
+        return spark.readStream.schema(schema).parquet(path)
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 

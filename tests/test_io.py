@@ -3,6 +3,7 @@ import json
 from tests.samples import rule, tweet
 from pyspark.sql import functions as F
 
+from sievestream.plans import feeds as D
 from sievestream.plans.enrich import enrich
 from sievestream.sources import messages as SM
 from sievestream.sources import sinks as K
@@ -56,3 +57,17 @@ def test_limit_counts_on_a_stream(spark, tmp_path):
     writer.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("n_limits", "sum_limit", "max_limit")
     assert sorted(map(tuple, got.collect())) == [(1, 1, 1), (2, 14, 9)]
+
+
+def test_tables_of_one_file_and_of_a_folder_are_streams(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id AS doc_id", "'x' AS text")
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "part"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "part").glob("*.parquet")).rename(tmp_path / "one" / "documents.parquet")
+    rows.write.parquet(str(tmp_path / "one" / "events.parquet"))
+    for name in ("many", "one"):
+        out = str(tmp_path / f"out-{name}")
+        writer = D.stream_table(spark, str(tmp_path / name), "documents").writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", str(tmp_path / f"ck-{name}")).trigger(availableNow=True).start().awaitTermination()
+        assert sorted(r["doc_id"] for r in spark.read.parquet(out).collect()) == list(range(20))
