@@ -74,11 +74,15 @@ def check_form(form: str) -> str:
     return form
 
 
+class TooLarge(ValueError):
+    """Rows do not fit into what travels with a plan."""
+
+
 def few_rows(rows: DataFrame, what: str, max_bytes: int = MAX_BAG_BYTES) -> list:
     """Rows that travel with a plan; an error if they are too large for that."""
     found = rows_within(rows, max_bytes)
     if found is None:
-        raise ValueError(f"the {what} take more than {max_bytes} bytes: too large to travel with the plan, use form='joins'")
+        raise TooLarge(f"the {what} take more than {max_bytes} bytes: too large to travel with the plan, use form='joins'")
     return found
 
 
@@ -359,12 +363,15 @@ def match_pairs(messages: DataFrame, rules: DataFrame, collector_type: str, row_
 
 
 def match_long(
-    messages: DataFrame, rules: DataFrame, collector_type: str, row_id: str = "row_id", form: str = "in_place"
+    messages: DataFrame, rules: DataFrame, collector_type: str, row_id: str = "row_id", form: str = "in_place", max_bytes: int = MAX_BAG_BYTES
 ) -> DataFrame:
     """(row_id, rule_id) by the form chosen; `messages` has one content column per kind."""
     if check_form(form) == "joins":
         return match_pairs(messages, rules, collector_type, row_id)
-    bag = rule_bag(rules, collector_type)
+    try:
+        bag = rule_bag(rules, collector_type, max_bytes=max_bytes)
+    except TooLarge:
+        return match_pairs(messages, rules, collector_type, row_id).withColumn("rule_id", F.col("rule_id").cast("string"))
     contents = {kind: F.col(kind) for kind in bag.terms}
     tagged = match_in_place(messages.select(row_id, *bag.terms), bag, contents)
     return tagged.select(row_id, F.explode("collection_rules.rule_id").alias("rule_id"))
