@@ -10,6 +10,8 @@ from sievestream.session import cut_lineage
 
 DEFAULT_SALTS = 16
 _MAP_SIDE_RANKS = 1000
+# Rows of a few words that go to all tasks: some ten MB.
+BROADCAST_ROWS = 100_000
 
 
 def spread(rows: DataFrame, by: Column, salts: int = DEFAULT_SALTS) -> DataFrame:
@@ -23,13 +25,22 @@ def repeated(keyed: DataFrame, salts: int = DEFAULT_SALTS) -> DataFrame:
 
 
 def salted_join(
-    rows: DataFrame, keyed: DataFrame, on: Sequence[str], by: Column, how: str = "inner", salts: int = DEFAULT_SALTS
+    rows: DataFrame, keyed: DataFrame, on: Sequence[str], by: Column, how: str = "inner", salts: int = DEFAULT_SALTS, shuffled: bool = False
 ) -> DataFrame:
     """Equi-join in which the rows of one key are spread over `salts` partitions.
 
-    `keyed` is the side with few rows per key. Where it turns out small, adaptive execution broadcasts it.
+    `keyed` is the side with few rows per key. Where it turns out small, adaptive execution broadcasts it; not if `shuffled`, for tables that can be large: before
+    it runs Spark takes repeated rows for one, and files for what they hold, so the driver would get tables far beyond its threshold.
     """
-    return spread(rows, by, salts).join(repeated(keyed, salts), [*on, "_salt"], how).drop("_salt")
+    copies = repeated(keyed, salts)
+    return spread(rows, by, salts).join(copies.hint("merge") if shuffled else copies, [*on, "_salt"], how).drop("_salt")
+
+
+def written_join(rows: DataFrame, written: DataFrame, on: Sequence[str], by: Column, salts: int = DEFAULT_SALTS) -> DataFrame:
+    """Equi-join with a table that has been written, so that its rows are known: where they are few they go to all tasks and `rows` stay where they are."""
+    if written.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(written), list(on))
+    return salted_join(rows, written, on, by, salts=salts, shuffled=True)
 
 
 def first_per_group(

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sievestream.functions import geo as G
 from sievestream.functions import values as V
-from sievestream.operators.distribute import repeated, salted_join, spread
+from sievestream.operators.distribute import repeated, salted_join, spread, written_join
 from sievestream.session import cut_lineage, rows_within
 from sievestream.schemas import MATCHABLE_KINDS, NOT_FOUND, RULE_FIELDS, check_collector_type
 
@@ -247,7 +247,7 @@ def gram_of_terms(grams: DataFrame, earlier: DataFrame | None = None) -> DataFra
     counts = grams.groupBy("gram").agg(F.count("*").alias("n_terms"))
     if earlier is not None:
         counts = counts.unionByName(earlier).groupBy("gram").agg(F.sum("n_terms").alias("n_terms"))
-    rated = salted_join(grams, counts, ["gram"], F.col("term"))
+    rated = salted_join(grams, counts, ["gram"], F.col("term"), shuffled=True)
     return rated.groupBy("term").agg(F.min_by("gram", F.struct("n_terms", "gram")).alias("gram"))
 
 
@@ -264,7 +264,7 @@ def _token_term_hits(tokens: DataFrame, terms: DataFrame, anchors: DataFrame | N
     if not lengths:
         return tokens.select("token", F.col("token").alias("term")).where(F.lit(False))
     token_grams = tokens.select("token", F.explode(_all_grams(F.col("token"), lengths)).alias("gram"))
-    candidates = salted_join(token_grams, anchors, ["gram"], F.col("token"))
+    candidates = written_join(token_grams, anchors, ["gram"], F.col("token"))
     return candidates.where(F.contains("token", "term")).select("token", "term")
 
 
@@ -284,9 +284,9 @@ def keyword_pairs(
     tokens = messages.select(
         row_id, F.explode(F.array_distinct(F.split(F.col(text), " "))).alias("token")
     ).where("token != ''")
-    # Written out, its size is known: where it is small the tokens stay where they are.
+    # Written out, its rows are known: where they are few the tokens stay where they are.
     hits = cut_lineage(_token_term_hits(tokens.select("token").distinct(), terms, anchors), "token-hits")
-    found = salted_join(tokens, hits, ["token"], F.col(row_id), salts=WIDE_SALTS).select(row_id, "term").distinct()
+    found = written_join(tokens, hits, ["token"], F.col(row_id), WIDE_SALTS).select(row_id, "term").distinct()
     worded = terms.where("term != ''")
     pairs = _all_terms_found(found, worded, row_id, key)
     # A value of blanks only has no word to look for: such a rule belongs to every message, as a constant.
@@ -304,7 +304,7 @@ def set_pairs(
     """(row_id, key) of every rule whose terms are all members of the message's set."""
     present = messages.select(row_id, F.explode(F.array_distinct(members)).alias("term"))
     wanted = terms.select("term").distinct()
-    found = salted_join(present, wanted, ["term"], F.col(row_id), salts=WIDE_SALTS)
+    found = salted_join(present, wanted, ["term"], F.col(row_id), salts=WIDE_SALTS, shuffled=True)
     return _all_terms_found(found.select(row_id, "term"), terms, row_id, key)
 
 
@@ -312,19 +312,22 @@ def _all_terms_found(found: DataFrame, terms: DataFrame, row_id: str, key: str)
     """Relational division of (row_id, term) by (key, term).
 
     A rule is first proposed only by its rarest term, so a frequent word shared by many rules proposes none of them;
-    the other terms of the proposed rules are then looked up. `found` is used three times: written once.
+    the other terms, which come with it, are then looked up. Rules with a term that no row has are not proposed. `found` is used three times: written once.
     """
     found = cut_lineage(found, "found")
     frequency = found.groupBy("term").agg(F.count("*").alias("n_rows"))
-    rated = salted_join(terms, frequency, ["term"], F.col(key), how="left")
+    rated = salted_join(terms, frequency, ["term"], F.col(key), how="left", salts=WIDE_SALTS, shuffled=True)
     per_rule = rated.groupBy(key).agg(
-        F.min_by("term", F.struct(F.coalesce("n_rows", F.lit(0)), "term")).alias("term"),
+        F.min_by("term", F.struct("n_rows", "term")).alias("term"),
         F.count("*").alias("n_terms"),
+        F.count("n_rows").alias("n_known"),
+        F.collect_list("term").alias("terms"),
     )
-    proposed = salted_join(found, per_rule, ["term"], F.col(row_id))
+    per_rule = per_rule.where("n_known = n_terms").drop("n_known")
+    proposed = salted_join(found, per_rule, ["term"], F.col(row_id), salts=WIDE_SALTS, shuffled=True)
     single = proposed.where("n_terms = 1").select(row_id, key)
-    several = proposed.where("n_terms > 1").select(row_id, key, "n_terms", F.col("term").alias("rarest"))
-    others = salted_join(several, terms, [key], F.col(row_id)).where("term != rarest")
+    several = proposed.where((F.col("n_terms") > 1) & F.col(key).isNotNull())
+    others = several.select(row_id, key, "n_terms", F.explode(F.filter("terms", lambda t: t != F.col("term"))).alias("other")).withColumnRenamed("other", "term")
     confirmed = (
         others.join(found, [row_id, "term"])
         .groupBy(row_id, key)
@@ -358,14 +361,17 @@ def match_pairs(messages: DataFrame, rules: DataFrame, collector_type: str, row_
     content = messages.select(row_id, *MATCHABLE_KINDS[collector_type])
     numbered = cut_lineage(content.withColumn("_message", F.monotonically_increasing_id()), "messages")
     pairs = _key_pairs(numbered, keyed, collector_type, "_message")
-    named = salted_join(pairs, keyed.select("_key", "rule_id"), ["_key"], F.col("_message"))
+    named = salted_join(pairs, keyed.select("_key", "rule_id"), ["_key"], F.col("_message"), salts=WIDE_SALTS, shuffled=True)
     return named.join(numbered.select("_message", row_id), "_message").select(row_id, "rule_id")
 
 
 def match_long(
     messages: DataFrame, rules: DataFrame, collector_type: str, row_id: str = "row_id", form: str = "in_place", max_bytes: int = MAX_BAG_BYTES
 ) -> DataFrame:
-    """(row_id, rule_id) by the form chosen; `messages` has one content column per kind."""
+    """(row_id, rule_id) by the form chosen; `messages` has one content column per kind.
+
+    Pairs are the same in both forms, so rules that are too large to travel with the plan are matched by joins in either.
+    """
     if check_form(form) == "joins":
         return match_pairs(messages, rules, collector_type, row_id)
     try:
@@ -407,7 +413,7 @@ def tag_by_joins(
     pairs = _key_pairs(content, keyed, collector_type, "_message", anchors)
     # As in place: by the order column, null last, equal ones in table order.
     tag = F.struct(F.col("_order").isNull().alias("_last"), "_order", "_key", "_rule")
-    tags = salted_join(pairs, rows, ["_key"], F.col("_message")).groupBy("_message").agg(F.array_sort(F.collect_list(tag)).alias("_tags"))
+    tags = salted_join(pairs, rows, ["_key"], F.col("_message"), salts=WIDE_SALTS, shuffled=True).groupBy("_message").agg(F.array_sort(F.collect_list(tag)).alias("_tags"))
     empty = F.array().cast(T.ArrayType(rows.schema["_rule"].dataType))
     picked = F.coalesce(F.transform("_tags", lambda t: t["_rule"]), empty)
     return numbered.join(tags, "_message", "left").select(*messages.columns, picked.alias("collection_rules"))

@@ -1,5 +1,6 @@
 """Matching: both physical forms against a direct nested loop, on random data with hot words and authors."""
 
+import itertools
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from tests.samples import rule, tweet
 from pyspark.sql import functions as F
 
 from sievestream.functions import content as C
+from sievestream.operators import distribute
 from sievestream.operators import matching as X
 from sievestream.operators import messages as M
 from sievestream.plans.enrich import contents, prepare, tag
@@ -175,8 +177,50 @@ def test_too_many_rules_for_the_plan_are_an_error(make_rules):
         X.rule_bag(make_rules(*[rule(i, f"w{i}", "keyword") for i in range(50)]), "track", max_bytes=1000)
 
 
+def test_pairs_of_rules_too_large_for_the_plan(spark, make_rules):
+    rules = make_rules(*[rule(i, f"w{i}", "keyword") for i in range(40)], rule(40, "tag", "hashtag"), rule(41, "w3 w7", "keyword"))
+    rows = [("a", "w3 and w7", []), ("a", "w12", ["tag"]), (None, "w5", None), ("b", None, ["tag"])]
+    frame = spark.createDataFrame(rows, "row_id STRING, keyword STRING, hashtag ARRAY<STRING>")
+    fits, too_large = (X.match_long(frame, rules, "track", max_bytes=n) for n in (1 << 20, 1000))
+    assert sorted(map(str, too_large.collect())) == sorted(map(str, fits.collect())) and too_large.schema == fits.schema
+
+
 def test_many_set_rules_in_place(spark):
     rules = spark.range(25_000).selectExpr("CAST(id AS STRING) AS rule_id", "CONCAT('n', id) AS value", "'userid' AS orig_type")
     frame = spark.createDataFrame([(1, ["n3", "n24999", "x"]), (2, ["n25000"]), (3, None)], "row_id INT, userid ARRAY<STRING>")
     frame = frame.withColumn("username", F.array().cast("array<string>"))
     assert ids(X.match_long(frame, rules, "follow")) == {(1, "3"), (1, "24999")} == ids(X.match_long(frame, rules, "follow", form="joins"))
+
+
+def test_rule_tables_are_not_broadcast_by_their_size_before(spark, tmp_path):
+    """Files of a few KB hold 300,000 rules, which Spark would send to all tasks several times each."""
+    spark.range(300_000).selectExpr("CAST(id AS STRING) AS rule_id", "CAST(id % 3 AS STRING) AS term").write.parquet(str(tmp_path / "terms"))
+    frame = spark.range(40).selectExpr("id AS row_id", "array(CAST(id AS STRING)) AS userid")
+    pairs = X.set_pairs(frame, spark.read.parquet(str(tmp_path / "terms")), "userid")
+    lines = pairs._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = itertools.takewhile(lambda x: depth(x) > depth(line), lines[i + 1 :])
+            assert not any("_salt" in x for x in below), line
+    assert pairs.count() == 300_000
+
+
+def test_tables_of_few_and_of_many_rows_join_alike(spark, monkeypatch):
+    tokens = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, None)], "row_id INT, token STRING")
+    hits = spark.createDataFrame([("a", "x"), ("a", "y"), ("c", "z")], "token STRING, term STRING")
+    want = [(1, "x"), (1, "y"), (2, "x"), (2, "y")]
+    for rows in (100, 2):
+        monkeypatch.setattr(distribute, "BROADCAST_ROWS", rows)
+        joined = distribute.written_join(tokens, hits, ["token"], F.col("row_id")).select("row_id", "term")
+        assert ("BroadcastExchange" in joined._jdf.queryExecution().executedPlan().toString()) == (rows == 100)
+        assert sorted(map(tuple, joined.collect())) == want
+
+
+def test_rules_come_with_all_their_terms(spark):
+    """Repeated terms and rules, rules without id, terms nobody has: as in one pass over all pairs."""
+    terms = spark.createDataFrame([("r1", "a"), ("r1", "b"), ("r2", "a"), ("r3", "a"), ("r3", "x"), (None, "a"), ("r4", "b"), ("r5", "a"), ("r5", "b"), ("r5", "c")], "rule_id STRING, term STRING")
+    found = spark.createDataFrame([(1, "a"), (1, "b"), (2, "a"), (3, "b"), (4, "a"), (4, "b"), (4, "c")], "row_id INT, term STRING")
+    got = sorted(map(tuple, X._all_terms_found(found, terms, "row_id", "rule_id").collect()), key=str)
+    want = [(m, "r1") for m in (1, 4)] + [(m, r) for m in (1, 2, 4) for r in ("r2", None)] + [(m, "r4") for m in (1, 3, 4)] + [(4, "r5")]
+    assert got == sorted(want, key=str)
