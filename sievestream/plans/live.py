@@ -29,13 +29,20 @@ from sievestream.streaming.rule_versions import RuleLog
 __all__ = ["QUERIES"]
 
 BATCHES = 3
+#: Rows of a file, on average: tables are dealt to as many files as that takes, the same number of files for each micro-batch.
+ROWS_OF_A_FILE = 50_000
+
+
+def _files_of_a_batch(df: DataFrame) -> int:
+    return max(1, -(-df.count() // (BATCHES * ROWS_OF_A_FILE)))
 
 
 def _through_batches(df: DataFrame, by: str, work: Callable[[DataFrame, int, str], None]) -> str:
-    """Deals a table by a column to files, one for each micro-batch of a stream, and runs `work(batch, batch_id, folder)` on them; the folder."""
+    """Deals a table by a column to files, equally many for each micro-batch of a stream, and runs `work(batch, batch_id, folder)` on them; the folder."""
     spark, path = df.sparkSession, work_dir(df.sparkSession, "live")
-    df.repartition(BATCHES, by).write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    files = _files_of_a_batch(df)
+    df.repartition(BATCHES * files, by).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
     writer = stream.writeStream.foreachBatch(lambda batch, batch_id: work(batch, batch_id, path))
     writer.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return path
@@ -44,13 +51,14 @@ def _through_batches(df: DataFrame, by: str, work: Callable[[DataFrame, int, str
 # --- lines in order ------------------------------------------------------------------------------------------------
 
 
-def _event_files(spark: SparkSession, sf: str) -> str:
-    """Events as lines of text: those of a user in one file, in the order of their ids."""
+def _event_files(spark: SparkSession, sf: str) -> tuple[str, int]:
+    """Events as lines of text: those of a user in one file, in the order of their ids; the folder, and how many of its files make a micro-batch."""
     path = work_dir(spark, "event-files")
     events = D.table(spark, sf, "events").select("event_id", "user_id", V.micros(F.col("ts")).alias("at"))
-    ordered = events.repartition(BATCHES, "user_id").sortWithinPartitions("event_id")
+    files = _files_of_a_batch(events)
+    ordered = events.repartition(BATCHES * files, "user_id").sortWithinPartitions("event_id")
     ordered.select(F.to_json(F.struct("event_id", "user_id", "at")).alias("value")).write.text(path)
-    return path
+    return path, files
 
 
 def _keyed_lines(lines: DataFrame) -> DataFrame:
@@ -63,15 +71,16 @@ def _keyed_lines(lines: DataFrame) -> DataFrame:
 @query
 def limit_lines(spark, sf):
     """The limiter over lines of text files, equal times in the order of the lines."""
-    keyed = cut_lineage(_keyed_lines(SM.read_lines(spark, _event_files(spark, sf))), "keyed-lines")
+    keyed = cut_lineage(_keyed_lines(SM.read_lines(spark, _event_files(spark, sf)[0])), "keyed-lines")
     decided = L.rate_limit(keyed.drop("event_id"), L.Bucket(rate=1, capacity=1))
     return decided.join(keyed.select("row_id", "event_id"), "row_id").select("event_id", "rule_value", "admitted")
 
 
 @query
 def limit_lines_stream(spark, sf):
-    """The same from a stream of the files, one to a micro-batch."""
+    """The same from a stream of the files, a third of them to a micro-batch."""
     path = work_dir(spark, "limit-lines")
+    folder, files = _event_files(spark, sf)
     store = SL.BucketStore(spark, f"{path}/buckets")
     out = B.BatchFolder(spark, f"{path}/out")
 
@@ -81,7 +90,7 @@ def limit_lines_stream(spark, sf):
         found = decided.join(keyed.select("row_id", "event_id"), "row_id").select("event_id", "rule_value", "admitted")
         out.write(found, batch_id, lambda frame, to: frame.write.parquet(to))
 
-    lines = SM.stream_lines(spark, _event_files(spark, sf), max_files=1)
+    lines = SM.stream_lines(spark, folder, max_files=files)
     writer = lines.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{path}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
     return out.read("parquet", "event_id LONG, rule_value STRING, admitted BOOLEAN")

@@ -15,6 +15,7 @@ from sievestream.operators import matching as X
 from sievestream.operators import rates as A
 from sievestream.operators import validate as Y
 from sievestream.operators.term_index import TermIndex
+from sievestream.plans import live
 from sievestream.sources import batches as B
 from sievestream.sources import messages as SM
 from sievestream.streaming.collector import start_collector
@@ -338,3 +339,19 @@ def test_digests_find_what_the_joins_find(spark):
     assert 1 <= len(leaves) <= 3
     empty = left.limit(0)
     assert rows(DG.same_tables(empty, empty)) == [(True,)] and DG.delta(empty, left.limit(2)).count() == 2
+
+
+def test_files_of_a_batch_grow_in_number_not_in_size(spark, monkeypatch):
+    """Three batches at every size, a key in one file, no task with a third of the table."""
+    monkeypatch.setattr(live, "ROWS_OF_A_FILE", 50)
+    seen = []
+
+    def work(batch, batch_id, path):
+        files = batch.groupBy(F.input_file_name().alias("f")).agg(F.count("*").alias("n")).collect()
+        seen.append((batch_id, [r["n"] for r in files], {r["id"] for r in batch.collect()}))
+
+    live._through_batches(spark.range(3000).selectExpr("id % 1000 AS id"), "id", work)
+    assert [batch_id for batch_id, _, _ in seen] == [0, 1, 2]
+    sizes = [n for _, files, _ in seen for n in files]
+    assert sum(sizes) == 3000 and max(sizes) <= 150 and len(sizes) <= 60
+    assert sum(len(ids) for _, _, ids in seen) == 1000
