@@ -272,8 +272,9 @@ def metrics_live(spark, sf):
     lines = D.event_lines(D.table(spark, sf, "events")).select("value", F.col("event_id").cast("string").alias("row_id"), F.timestamp_seconds(F.lit(D.EPOCH_2024)).alias("ingest_ts"))
     rules = D.benchmark_rules(D.table(spark, sf, "benchmark"))
     path = work_dir(spark, "metrics-live")
-    lines.repartition(BATCHES, "row_id").write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    files = _files_of_a_batch(lines)
+    lines.repartition(BATCHES * files, "row_id").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
     out = B.BatchFolder(spark, f"{path}/metrics")
     SC.start_collector(
         stream, lambda: rules, "track", 1, lambda batch, batch_id: None, f"{path}/checkpoint", available_now=True,
