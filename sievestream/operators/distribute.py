@@ -36,9 +36,14 @@ def salted_join(
     return spread(rows, by, salts).join(copies.hint("merge") if shuffled else copies, [*on, "_salt"], how).drop("_salt")
 
 
+def are_few(written: DataFrame) -> bool:
+    """Whether the rows of a table that has been written can go to all tasks."""
+    return written.count() <= BROADCAST_ROWS
+
+
 def written_join(rows: DataFrame, written: DataFrame, on: Sequence[str], by: Column, salts: int = DEFAULT_SALTS) -> DataFrame:
     """Equi-join with a table that has been written, so that its rows are known: where they are few they go to all tasks and `rows` stay where they are."""
-    if written.count() <= BROADCAST_ROWS:
+    if are_few(written):
         return rows.join(F.broadcast(written), list(on))
     return salted_join(rows, written, on, by, salts=salts, shuffled=True)
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from sievestream.functions import geo as G
 from sievestream.functions import values as V
-from sievestream.operators.distribute import repeated, salted_join, spread, written_join
+from sievestream.operators.distribute import are_few, repeated, salted_join, spread, written_join
 from sievestream.session import cut_lineage, rows_within
 from sievestream.schemas import MATCHABLE_KINDS, NOT_FOUND, RULE_FIELDS, check_collector_type
 
@@ -251,21 +251,17 @@ def gram_of_terms(grams: DataFrame, earlier: DataFrame | None = None) -> DataFra
     return rated.groupBy("term").agg(F.min_by("gram", F.struct("n_terms", "gram")).alias("gram"))
 
 
-def _token_term_hits(tokens: DataFrame, terms: DataFrame, anchors: DataFrame | None = None) -> DataFrame:
-    """(token, term) for every distinct token that contains a distinct term.
+def _anchored_terms(tokens: DataFrame, anchors: DataFrame) -> DataFrame:
+    """The rows of `tokens` with each `term` that the token contains; `anchors` is (term, gram), written.
 
-    Every term is looked up by one of its grams, the one it shares with the fewest other terms (or that `anchors`, (term, gram), gives it).
-    Candidates are verified.
+    Every term is looked up by its gram. Candidates are verified.
     """
-    if anchors is None:
-        anchors = gram_of_terms(term_grams(terms.select("term").where("term != ''").distinct()))
-    anchors = cut_lineage(anchors, "anchors")
     lengths = sorted(r["n"] for r in anchors.select(F.char_length("gram").alias("n")).distinct().collect())  # at most GRAM numbers
     if not lengths:
-        return tokens.select("token", F.col("token").alias("term")).where(F.lit(False))
-    token_grams = tokens.select("token", F.explode(_all_grams(F.col("token"), lengths)).alias("gram"))
+        return tokens.select("*", F.col("token").alias("term")).where(F.lit(False))
+    token_grams = tokens.select("*", F.explode(_all_grams(F.col("token"), lengths)).alias("gram"))
     candidates = written_join(token_grams, anchors, ["gram"], F.col("token"))
-    return candidates.where(F.contains("token", "term")).select("token", "term")
+    return candidates.where(F.contains("token", "term")).select(*tokens.columns, "term")
 
 
 def keyword_pairs(
@@ -278,15 +274,23 @@ def keyword_pairs(
 ) -> DataFrame:
     """(row_id, key) of every keyword rule whose terms are all substrings of the message text.
 
-    A term has no blank, so it can only occur inside one blank-separated token. Substring search is done once on the
-    distinct tokens of the whole input; messages meet the result by equality. `anchors` gives the gram of each term where an index keeps them.
+    A term has no blank, so it can only occur inside one blank-separated token. Where the terms are few they go to all tasks and the tokens stay where
+    they are. Otherwise substring search is done once on the distinct tokens of the whole input; messages meet the result by equality. `anchors` gives the gram of
+    each term where an index keeps them; else it is the one that a term shares with the fewest others.
     """
     tokens = messages.select(
         row_id, F.explode(F.array_distinct(F.split(F.col(text), " "))).alias("token")
     ).where("token != ''")
-    # Written out, its rows are known: where they are few the tokens stay where they are.
-    hits = cut_lineage(_token_term_hits(tokens.select("token").distinct(), terms, anchors), "token-hits")
-    found = written_join(tokens, hits, ["token"], F.col(row_id), WIDE_SALTS).select(row_id, "term").distinct()
+    if anchors is None:
+        anchors = gram_of_terms(term_grams(terms.select("term").where("term != ''").distinct()))
+    anchors = cut_lineage(anchors, "anchors")
+    if are_few(anchors):
+        found = _anchored_terms(tokens, anchors)
+    else:
+        # Written out, its rows are known: where they are few the tokens stay where they are.
+        hits = cut_lineage(_anchored_terms(tokens.select("token").distinct(), anchors), "token-hits")
+        found = written_join(tokens, hits, ["token"], F.col(row_id), WIDE_SALTS)
+    found = found.select(row_id, "term").distinct()
     worded = terms.where("term != ''")
     pairs = _all_terms_found(found, worded, row_id, key)
     # A value of blanks only has no word to look for: such a rule belongs to every message, as a constant.

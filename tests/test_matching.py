@@ -224,3 +224,24 @@ def test_rules_come_with_all_their_terms(spark):
     got = sorted(map(tuple, X._all_terms_found(found, terms, "row_id", "rule_id").collect()), key=str)
     want = [(m, "r1") for m in (1, 4)] + [(m, r) for m in (1, 2, 4) for r in ("r2", None)] + [(m, "r4") for m in (1, 3, 4)] + [(4, "r5")]
     assert got == sorted(want, key=str)
+
+
+def test_few_terms_are_looked_up_where_the_tokens_lie(spark, monkeypatch):
+    """Of messages and few terms only (row, term) is shuffled, once; many terms give the same pairs."""
+    messages = [(1, "green tea, black tea\nmilk"), (2, "teapot"), (3, "blacktea a😀b"), (4, ""), (5, None), (1, "sugar"), (None, "tea sugar")]
+    frame = spark.createDataFrame(messages, "row_id INT, keyword STRING")
+    terms = spark.createDataFrame([("r1", "tea"), ("r2", "black"), ("r2", "tea"), ("r3", "sugar"), ("r3", "milk"), ("r4", "a😀"), ("r5", "nowhere"), ("r5", "tea"), ("r6", "k")], "rule_id STRING, term STRING")
+    want = [(m, "r1") for m in (None, 1, 2, 3)] + [(1, "r2"), (3, "r2"), (1, "r3"), (3, "r4"), (1, "r6"), (3, "r6")]
+    plans, write = {}, X.cut_lineage
+
+    def seen(df, purpose):
+        plans[purpose] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, purpose)
+
+    monkeypatch.setattr(X, "cut_lineage", seen)
+    for rows in (100, 1):
+        plans.clear()
+        monkeypatch.setattr(distribute, "BROADCAST_ROWS", rows)
+        assert sorted(map(tuple, X.keyword_pairs(frame, terms).collect()), key=str) == sorted(want, key=str)
+        assert ("token-hits" in plans) == (rows == 1)
+        assert (plans["found"].count("hashpartitioning") == 1) == (rows == 100)
