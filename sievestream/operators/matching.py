@@ -327,13 +327,14 @@ def _all_terms_found(found: DataFrame, terms: DataFrame, row_id: str, key: str)
         F.count("n_rows").alias("n_known"),
         F.collect_list("term").alias("terms"),
     )
-    per_rule = per_rule.where("n_known = n_terms").drop("n_known")
-    proposed = salted_join(found, per_rule, ["term"], F.col(row_id), salts=WIDE_SALTS, shuffled=True)
+    per_rule = cut_lineage(per_rule.where("n_known = n_terms").drop("n_known"), "proposals")
+    # Few rules go to all tasks, and the rows stay where they are.
+    proposed = written_join(found, per_rule, ["term"], F.col(row_id), WIDE_SALTS)
     single = proposed.where("n_terms = 1").select(row_id, key)
     several = proposed.where((F.col("n_terms") > 1) & F.col(key).isNotNull())
     others = several.select(row_id, key, "n_terms", F.explode(F.filter("terms", lambda t: t != F.col("term"))).alias("other")).withColumnRenamed("other", "term")
     confirmed = (
-        others.join(found, [row_id, "term"])
+        others.join(found.hint("merge"), [row_id, "term"])  # its files are small for what they hold
         .groupBy(row_id, key)
         .agg(F.count("*").alias("n_found"), F.first("n_terms").alias("n_terms"))
         .where("n_found = n_terms - 1")

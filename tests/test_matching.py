@@ -245,3 +245,17 @@ def test_few_terms_are_looked_up_where_the_tokens_lie(spark, monkeypatch):
         assert sorted(map(tuple, X.keyword_pairs(frame, terms).collect()), key=str) == sorted(want, key=str)
         assert ("token-hits" in plans) == (rows == 1)
         assert (plans["found"].count("hashpartitioning") == 1) == (rows == 100)
+
+
+def test_few_rules_go_to_the_rows_that_propose_them(spark, monkeypatch):
+    """The rows found are shuffled to confirm rules of several terms only; they are never sent to all tasks, and many rules give the same."""
+    terms = spark.createDataFrame([("r1", "a"), ("r2", "a"), ("r2", "b"), ("r3", "b"), ("r4", "a"), ("r4", "x")], "rule_id STRING, term STRING")
+    found = spark.createDataFrame([(i, t) for i in range(60) for t in ("a", "b") if t == "a" or i % 3 == 0], "row_id INT, term STRING")
+    want = sorted([(i, "r1") for i in range(60)] + [(i, r) for i in range(0, 60, 3) for r in ("r2", "r3")])
+    for rows in (100, 1):
+        monkeypatch.setattr(distribute, "BROADCAST_ROWS", rows)
+        pairs = X._all_terms_found(found, terms, "row_id", "rule_id")
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert ("hashpartitioning(term" in plan) == (rows == 1)
+        assert "SortMergeJoin [row_id" in plan
+        assert sorted(map(tuple, pairs.collect())) == want
