@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sievestream.llm.common import cut_lineage
 from sievestream.llm.text_arrays import mixed, parts, run_hashes, runs, windows
@@ -24,7 +25,9 @@ MAX_FILTER_BITS = 1 << 29
 #: Filters are put together from blocks of this many bits.
 _BLOCK_BITS = 1 << 16
 #: Phrase keys that are counted at once, and bytes of text that are taken apart at once: with the JVM's share two workers have to fit an executor.
-_KEYS, _WINDOW = 250_000, 1 << 18
+_KEYS, _WINDOW = 1_000_000, 1 << 20
+#: Rows of a record batch.
+_BATCH = 512
 #: Words of all texts for each part of the keys, at most: one task adds up a part in memory.
 _WORDS_OF_A_PART, _FEW_PARTS = 1_000_000, 8
 
@@ -96,15 +99,19 @@ class _Filter:
         return (self.words.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _filter(entries: DataFrame, key: str = "key") -> _Filter:
-    """The filter of a column of keys. Blocks are built where their entries meet; the driver gets the finished blocks only."""
+def _own_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield batch.column(0).to_numpy().view(np.uint64)
+
+
+def _filter(entries: DataFrame, keys: Callable[[pa.RecordBatch], Iterator[np.ndarray]] = _own_keys) -> _Filter:
+    """The filter of the keys that `keys` finds in the rows. Blocks are built where their entries meet; the driver gets the finished blocks only."""
     spark = entries.sparkSession
     bits = min(max(_BLOCK_BITS, 1 << max(1, int(entries.count()) * FILTER_BITS - 1).bit_length()), MAX_FILTER_BITS)
     n_blocks = bits // _BLOCK_BITS
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.unique(_bit(batch.column(0).to_numpy().view(np.uint64), bits))
+        for found in (found for batch in batches for found in keys(batch)):
+            at = np.unique(_bit(found, bits))
             yield pa.RecordBatch.from_arrays([pa.array((at // _BLOCK_BITS).astype(np.int32)), pa.array((at % _BLOCK_BITS).astype(np.int32))], names=["block", "bit"])
 
     def build(table: pa.Table) -> pa.Table:
@@ -113,7 +120,7 @@ def _filter(entries: DataFrame, key: str = "key") -> _Filter:
         np.bitwise_or.at(block, at >> 3, (1 << (at & 7)).astype(np.uint8))
         return pa.table({"block": table.column("block")[:1], "bytes": pa.array([block.tobytes()], pa.binary())})
 
-    blocks = entries.select(key).mapInArrow(place, "block INT, bit INT").groupBy("block").applyInArrow(build, "block INT, bytes BINARY")
+    blocks = entries.mapInArrow(place, "block INT, bit INT").groupBy("block").applyInArrow(build, "block INT, bytes BINARY")
     whole = np.zeros(bits // 8, np.uint8).reshape(n_blocks, -1)
     for row in blocks.toLocalIterator():
         whole[row["block"]] = np.frombuffer(row["bytes"], np.uint8)
@@ -134,7 +141,7 @@ def _scan(docs: DataFrame, schema: str, work: Callable[[_Words, np.ndarray, np.n
     """Runs `work` on the words of all texts, with language hash, language and shard of each text of the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
+        for batch in parts(batches, _BATCH):
             langs = batch.column(0).to_numpy(zero_copy_only=False)
             lang_hash, shards = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for words in _words(batch.column(3).cast(pa.binary()).to_pylist()):
@@ -192,7 +199,7 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
                 yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]]), pa.array(np.full(len(spans), lang, np.int64)), *packed], names=["part", "lang_hash", "keys", "counts", "shards"])
             held.clear()
 
-        for batch in parts(batches):
+        for batch in parts(batches, _BATCH):
             lang_hash, shards = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
             for words in _words(batch.column(3).cast(pa.binary()).to_pylist(), 1):
                 hashes, of = _phrase_hashes(words, k), lang_hash[words.text]
@@ -214,18 +221,25 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
         yield from counted()
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, tuple[int, ...]], list[tuple[bytes, ...]]] = {}
-        for batch in batches:
-            for lang, needs, *packed in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                held.setdefault((lang, tuple(needs)), []).append(tuple(packed))
-        while held:
-            (_, needs), packed = held.popitem()
-            keys, n, shard = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*packed), (np.uint64, np.int64, np.int32)))
+        held, of = [], None
+
+        def added(needs: list[int]) -> pa.RecordBatch:
+            keys, n, shard = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), (np.uint64, np.int64, np.int32)))
+            held.clear()
             order = np.lexsort((keys, shard))
             keys, n, shard = keys[order], n[order], shard[order]
             first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (shard[1:] != shard[:-1])]))
             frequent = first[np.add.reduceat(n, first) >= np.array(needs)[shard[first]]]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[frequent].view(np.int64)), pa.array(shard[frequent])], names=["key", "shard"])
+            return pa.RecordBatch.from_arrays([pa.array(keys[frequent].view(np.int64)), pa.array(shard[frequent])], names=["key", "shard"])
+
+        for batch in batches:
+            for part, lang, needs, *packed in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if held and (part, lang) != of[:2]:
+                    yield added(of[2])
+                of = (part, lang, needs)
+                held.append(packed)
+        if held:
+            yield added(of[2])
 
     packed = docs.mapInArrow(run, "part INT, lang_hash LONG, keys BINARY, counts BINARY, shards BINARY")
     # frequent: n * n_lang >= min_count * n_shard; a shard without words needs nothing, for it has nothing
@@ -233,8 +247,20 @@ def _mine(docs: DataFrame, k: int, shorter: _Filter, totals: DataFrame, min_coun
     by_shard = F.map_from_entries(F.collect_list(F.struct("shard", need)))
     needs = totals.groupBy(F.xxhash64("lang").alias("lang_hash")).agg(by_shard.alias("m"))
     needs = needs.select("lang_hash", F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("m"))), lambda s: F.coalesce(F.element_at("m", s), F.lit(0).cast("long"))).alias("needs"))
-    met = packed.join(needs, "lang_hash").select("lang_hash", "needs", "keys", "counts", "shards", "part")
-    return met.repartition(n_parts, "part").mapInArrow(add_up, "key LONG, shard INT")
+    met = packed.join(needs, "lang_hash").select("part", "lang_hash", "needs", "keys", "counts", "shards")
+    # several parts may come to one task, which holds a language of one of them at a time
+    return met.repartition(n_parts, "part").sortWithinPartitions("part", "lang_hash").mapInArrow(add_up, "key LONG, shard INT")
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Record batches of few rows for the jobs run inside: a batch lies in memory twice, in the JVM's share and in the worker's."""
+    name, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(name, _BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, rows)
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
@@ -246,6 +272,11 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     counted by their text over all documents. Between passes only filters go round, of bounded size: they let pass too much, never too little,
     as do equal hashes of different phrases.
     """
+    with _small_batches(docs.sparkSession):
+        return _frequent_phrases(docs, text, lang, longest, min_count, shards)
+
+
+def _frequent_phrases(docs: DataFrame, text: str, lang: str, longest: int, min_count: int, shards: int) -> tuple[DataFrame, DataFrame]:
     language = F.coalesce(F.col(lang).cast("string"), F.lit("und"))
     rows = docs.select(
         language.alias("lang"), F.xxhash64(language).alias("lang_hash"), F.pmod(F.xxhash64(F.lit("shard"), F.col(text)), shards).cast("int").alias("shard"), F.coalesce(F.col(text), F.lit("")).alias("text")
@@ -257,12 +288,12 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     totals = cut_lineage(by_shard.join(by_shard.groupBy("lang").agg(F.sum("n_shard").alias("n_lang")), "lang"), "phrases-shards")
     words = totals.agg(F.sum("n_shard")).first()[0] or 0
     n_parts = max(_FEW_PARTS, -(-words // _WORDS_OF_A_PART))
-    shorter, found = _filter(_keys_of(singles)), []
+    shorter, found = _filter(singles.select("phrase", F.xxhash64("lang")), _word_keys), []
     for k in range(2, longest + 1):
         frequent = cut_lineage(_mine(rows, k, shorter, totals, min_count, n_parts), f"phrases-{k}")
         found.append(frequent)
         if k < longest:
-            shorter = _filter(_shard_keys(frequent))
+            shorter = _filter(frequent, _shard_keys)
     union = found[0]
     for frequent in found[1:]:
         union = union.unionByName(frequent)
@@ -276,25 +307,15 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", lo
     return singles.unionByName(counted), totals.groupBy("lang").agg(F.max("n_lang").alias("n"))
 
 
-def _keys_of(singles: DataFrame) -> DataFrame:
+def _word_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
     """The keys of counted words, as the scans compute them."""
+    of = batch.column(1).to_numpy().view(np.uint64)
+    for words in _words(batch.column(0).cast(pa.binary()).to_pylist(), 1):
+        yield mixed(words.hash ^ of[words.text])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of = batch.column(1).to_numpy().view(np.uint64)
-            for words in _words(batch.column(0).cast(pa.binary()).to_pylist(), 1):
-                yield pa.RecordBatch.from_arrays([pa.array(mixed(words.hash ^ of[words.text]).view(np.int64))], names=["key"])
-
-    return singles.select("phrase", F.xxhash64("lang")).mapInArrow(run, "key LONG")
-
-
-def _shard_keys(frequent: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = _in_shard(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
 
-    return frequent.select("key", "shard").mapInArrow(run, "key LONG")
+def _shard_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    yield _in_shard(batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy())
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, min_count: int = MIN_COUNT, top: int = TOP, shards: int = SHARDS) -> DataFrame:

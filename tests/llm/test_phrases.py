@@ -108,3 +108,19 @@ def test_filters_lose_nothing(spark):
 def test_products_beyond_64_bits_are_exact(spark):
     row = spark.sql("SELECT (CAST(1000 AS DECIMAL(4,0)) * CAST(900000000007L AS DECIMAL(17,0)) * CAST(90000000000001L AS DECIMAL(17,0))) div (CAST(900000000011L AS DECIMAL(19,0)) * CAST(900000000013L AS DECIMAL(19,0))) AS s").first()
     assert row["s"] == 1000 * 900000000007 * 90000000000001 // (900000000011 * 900000000013)
+
+
+def test_a_task_holds_small_batches_and_one_part_at_a_time(spark, texts, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, write = spark.conf.get(name), {}, phrases.cut_lineage
+
+    def noted(df, purpose):
+        seen[purpose] = (int(spark.conf.get(name)), df._jdf.queryExecution().executedPlan().toString())
+        return write(df, purpose)
+
+    monkeypatch.setattr(phrases, "cut_lineage", noted)
+    docs = spark.createDataFrame(texts, "lang STRING, text STRING")
+    assert rows_of(phrases.collocations(docs, min_count=60)) == plain(texts, 60, 2000)
+    assert spark.conf.get(name) == before
+    assert len(seen) == 7 and all(rows <= phrases._BATCH for rows, _ in seen.values())
+    assert all("Sort [part" in seen[f"phrases-{k}"][1] for k in range(2, 6))
