@@ -14,6 +14,8 @@ from sievestream.llm.common import WORD, ascii_lower, components, cut_lineage, t
 
 _WORDS = re.compile(WORD.encode())
 _BITS = np.arange(64, dtype=np.uint64)
+#: Distinct fingerprints whose variants one task makes, on average: 64 rows each, which it holds while it counts them.
+TASK_FINGERPRINTS = 1 << 13
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -55,14 +57,20 @@ def _masked() -> F.Column:
     return F.array(*variants)
 
 
+def _variants(distinct: DataFrame) -> DataFrame:
+    """(fp, variant), 64 rows for each distinct fingerprint. Few bytes become many rows, so tasks follow from the number of fingerprints, not from their bytes."""
+    tasks = -(-distinct.count() // TASK_FINGERPRINTS) or 1
+    return distinct.repartition(tasks, "fp").select("fp", F.explode(_masked()).alias("variant"))
+
+
 def links(distinct: DataFrame) -> DataFrame:
     """Pairs (a < b) of the distinct fingerprints `fp` that differ in at most 3 bits.
 
     Of 3 differing bits at most 1 lies in one of the two halves, so that half agrees in a variant that leaves out one bit.
     An equality join on the variants finds every such pair. It is taken at one variant only: of the lowest half with at
-    most one differing bit, the one that leaves out this bit (bit 0 where the halves are equal).
+    most one differing bit, the one that leaves out this bit (bit 0 where the halves are equal). `distinct` is read several times.
     """
-    variants = distinct.select("fp", F.explode(_masked()).alias("variant"))
+    variants = _variants(distinct)
     several = cut_lineage(variants.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1").select("variant"), "simhash-variants")
     kept = cut_lineage(variants.join(several, "variant", "left_semi"), "simhash-members")
     left, right = kept.select("variant", F.col("fp").alias("a")), kept.select("variant", F.col("fp").alias("b"))
@@ -101,7 +109,8 @@ def representatives(docs: DataFrame, shingle: int = 5, text: str = "text", key:
     come last. Of rows equal in both any one stays.
     """
     rows = cut_lineage(fingerprints(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), shingle, "_text", "_key", text_mark("_text")), "simhash-rows")
-    groups = components(links(rows.select("fp").distinct()), "simhash-components")
+    distinct = cut_lineage(rows.select("fp").distinct(), "simhash-distinct")
+    groups = components(links(distinct), "simhash-components")
     members = rows.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("_key", "_mark", F.coalesce("component", "fp").alias("group"))
     return first_of_groups(docs, members, text, key)
 

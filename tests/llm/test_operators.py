@@ -203,6 +203,14 @@ def test_simhash_links_every_distance(spark):
     assert got == want
 
 
+def test_simhash_variants_are_made_by_many_tasks(spark, monkeypatch):
+    """A few bytes in one partition, as a written table of fingerprints is read: no task makes the variants of all."""
+    monkeypatch.setattr(simhash, "TASK_FINGERPRINTS", 100)
+    distinct = spark.range(2000).select(common.F.xxhash64("id").alias("fp")).coalesce(1)
+    counts = [r["count"] for r in simhash._variants(distinct).groupBy(common.F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(counts) == 64 * 2000 and len(counts) >= 15 and max(counts) <= 2 * 64 * 100
+
+
 # 7
 def test_language_model(odd, none):
     got = {r["doc_id"]: r for r in language_model.score_texts(odd.dropDuplicates(["doc_id"])).collect()}
